@@ -1,0 +1 @@
+"""Intentionally empty: every load is a batch refresh, so no streaming operator is in scope."""
