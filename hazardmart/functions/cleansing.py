@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import DataType
 
 from hazardmart.schemas import AMOUNT
 
@@ -20,6 +21,13 @@ WORD_EDGE = (
     r"(?<=[^\p{IsLowercase}\p{IsUppercase}\p{Lt}])|(?=[^\p{IsLowercase}\p{IsUppercase}\p{Lt}])"
 )
 
+# The same characters as ranges of a regular expression.
+_BLANK = r"\t-\r\x1c-\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
+# Every text that can be a number or an amount matches; possessive repeats never backtrack.
+NUMERIC = (
+    rf"^[{_BLANK}$,+-]*+[.]?+[0-9][0-9$,.]*+(?:[eE][+-]?+[0-9$,]++)?+[{_BLANK}$,]*+$"
+)
+
 
 def strip(text: Column) -> Column:
     return F.btrim(text, F.lit(WHITESPACE))
@@ -36,31 +44,34 @@ def title_words(text: Column) -> Column:
     return F.array_join(F.transform(words, F.initcap), "")
 
 
-def _amount(text: Column) -> Column:
-    # Casting to decimal (not double) keeps cents exact and rejects the words and suffixes the
-    # JVM's floating-point parser would let through: NaN, Infinity, 1d, 0x10.
-    return strip(text).try_cast(AMOUNT)
+def _number(text: Column, candidate: Column, kind: str | DataType) -> Column:
+    """``candidate``, stripped and cast, where ``text`` looks numeric; otherwise NULL.
+
+    A failed cast costs a JVM exception, so the frequent ``SD`` and ``-`` are screened out
+    first. Casting to decimal, not double, keeps cents exact and refuses
+    what the floating-point parser would let through: NaN, Infinity, 1d, 0x10.
+    """
+    return F.when(text.rlike(NUMERIC), strip(candidate).try_cast(kind))
 
 
 def clean_number(text: Column) -> Column:
     """Number with thousands commas; anything else, like ``SD`` or ``211 801``, is NULL."""
-    return _amount(F.replace(text, F.lit(",")))
+    return _number(text, F.replace(text, F.lit(",")), AMOUNT)
 
 
 def clean_money(text: Column) -> Column:
     """Amount with currency signs and thousands commas; a lone dash or no text is NULL."""
-    return _amount(F.translate(text, "$,", ""))
+    return _number(text, F.translate(text, "$,", ""), AMOUNT)
 
 
 def coerce_number(text: Column) -> Column:
     """Plain number: thousands commas are not accepted here."""
-    return strip(text).try_cast("decimal(20,4)")
+    return _number(text, text, "decimal(20,4)")
 
 
 def coerce_year(text: Column) -> Column:
-    """Whole year, also when spelled ``2021.0``; a fractional year is no year."""
-    number = coerce_number(text)
-    return F.when(number == F.floor(number), number.try_cast("int"))
+    """Year as an integer, also when spelled ``2021.0``."""
+    return coerce_number(text).try_cast("int")
 
 
 def coerce_count(text: Column) -> Column:

@@ -65,8 +65,8 @@ def conform_event_type(
 
 
 def valid_values(catalogue: DataFrame) -> DataFrame:
-    """The distinct canonical values of a catalogue, as column ``_valid``."""
-    return catalogue.select(F.col("canonico").alias("_valid")).dropna().distinct()
+    """The canonical values of a catalogue, as column ``_valid``, once per variant."""
+    return catalogue.select(F.col("canonico").alias("_valid")).dropna()
 
 
 def keep_valid(rows: DataFrame, column: str, catalogue: DataFrame) -> DataFrame:

@@ -75,7 +75,7 @@ def fact_checks(
     checks = {"negative measures": F.col("_negative")}
     for key, dimension in dimensions.items():
         found = f"_{key}"
-        members = dimension.select(F.col(key).alias(found))
+        members = dimension.select(F.col(key).alias(found)).distinct()
         reduced = reduced.join(members, F.col(key) == F.col(found), "left")
         missing = F.col(key).isNull()
         orphan = F.col(key).isNotNull() & F.col(found).isNull()

@@ -26,7 +26,7 @@ def with_verdict(events: DataFrame, states: DataFrame, years: YearRange = YEARS)
     Rejected rows are kept and reported instead of dropped; a NULL phenomenon would break the
     NOT NULL key of the fact table.
     """
-    known = valid_values(states)
+    known = valid_values(states).distinct()
     return (
         events.join(known, F.col("estado") == F.col("_valid"), "left")
         .withColumn(

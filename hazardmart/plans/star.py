@@ -100,9 +100,14 @@ def load_fact(events: DataFrame, dimensions: Dimensions, keep: Sequence[str] = (
 
 
 def flat_events(fact: DataFrame, dimensions: Dimensions) -> DataFrame:
-    """The view all analytics read: fact rows with the names of their dimension members."""
-    joined = fact.drop(*[natural_key for _, natural_key in DIMENSION_KEYS.values()])
+    """The view all analytics read: fact rows with the names of their dimension members.
+
+    A natural key the fact carries itself needs no join; for the year, the partition column of
+    a loaded fact, this lets a filter on the view skip whole folders.
+    """
+    joined = fact
     for table, dimension in dimensions.tables().items():
-        id_column, _ = DIMENSION_KEYS[table]
-        joined = joined.join(dimension, id_column)
+        id_column, natural_key = DIMENSION_KEYS[table]
+        if natural_key not in fact.columns:
+            joined = joined.join(dimension, id_column)
     return joined.drop(*FACT_KEYS)

@@ -12,6 +12,7 @@ from hazardmart.operators import analytics, conform, dashboard, grain, keys, qua
 from hazardmart.plans import cleanse, star
 from hazardmart.plans.events import build_events, with_verdict
 from hazardmart.schemas import AMOUNT, FACT_KEYS, MEASURES
+from hazardmart.sources.landed import land
 from hazardmart.trial import staging
 from hazardmart.trial.tables import (
     PERIODS,
@@ -55,7 +56,7 @@ def top10_state_year(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def star_cube_top20(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Over the star: fact rows keyed by the dimensions and joined back to them."""
-    flat = events(spark, sf_dir).withColumnRenamed("tipo_fenomeno", "fenomeno")
+    flat = land(events(spark, sf_dir).withColumnRenamed("tipo_fenomeno", "fenomeno"), "flat")
     dimensions = star.build_dimensions(flat, ["F", "O", "P"])
     return analytics.star_cube(star.flat_events(star.load_fact(flat, dimensions), dimensions))
 
@@ -126,15 +127,16 @@ def dim_insert_if_absent(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def clean_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     priority = F.col("o_orderpriority")
-    raw = staging.cycle(
-        F.lower(priority),
-        F.concat(F.lit("   "), priority, F.lit(" ")),
-        F.concat(F.lit("\t\n"), priority, F.lit("\r\n")),
-        F.concat(F.lit("\u00a0\u2003"), F.lower(priority), F.lit("\u3000\x1c")),
+    spellings = [
+        "{lower}",
+        "   {priority} ",
+        "\t\n{priority}\r\n",
+        "\u00a0\u2003{lower}\u3000\x1c",
         None,
-        F.concat(F.lit("michoacán ñ "), priority),
-        F.concat(F.lit("a  b "), priority),
-    )
+        "michoacán ñ {priority}",
+        "a  b {priority}",
+    ]
+    raw = staging.spell(spellings, priority=priority, lower=F.lower(priority))
     return _cleaned(spark, sf_dir, cleansing.clean_text(raw), "texto")
 
 
@@ -172,7 +174,9 @@ def conform_with_null_markers(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def conform_strict(spark: SparkSession, sf_dir: str) -> DataFrame:
     status = F.col("o_orderstatus")
-    raw = staging.cycle(status, F.lower(status), F.concat(F.lit("\t"), status, F.lit(" ")), None)
+    raw = staging.spell(
+        ["{status}", "{lower}", "\t{status} ", None], status=status, lower=F.lower(status)
+    )
     orders = table(spark, sf_dir, "orders").select("o_orderkey", raw.alias("raw"))
     types = staging.catalogues(spark, sf_dir).event_types
     return conform.conform_event_type(orders, "raw", "tipo_evento", types).drop("raw")
@@ -225,7 +229,7 @@ def fact_verdicts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def fact_load(spark: SparkSession, sf_dir: str) -> DataFrame:
-    base = fact_base(spark, sf_dir)
+    base = _landed_base(spark, sf_dir)
     return star.load_fact(base, star.build_dimensions(base), keep=["o_orderkey"])
 
 
@@ -316,7 +320,7 @@ def dq_text_length(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def dq_fact_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All fact rules in one pass; two dimensions lost a member each."""
-    base = fact_base(spark, sf_dir)
+    base = _landed_base(spark, sf_dir)
     dimensions = star.build_dimensions(base)
     fact = star.load_fact(base, dimensions)
     present = {
@@ -395,6 +399,11 @@ def _cleaned(spark: SparkSession, sf_dir: str, value: Column, name: str) -> Data
     return table(spark, sf_dir, "orders").select("o_orderkey", value.alias(name))
 
 
+def _landed_base(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The cleansed events written once: dimensions and fact both read them."""
+    return land(fact_base(spark, sf_dir), "events")
+
+
 def _conformed_states(spark: SparkSession, sf_dir: str) -> DataFrame:
     spelled = staging.state_text(F.col("estado"), F.col("n_nationkey"))
     raw = orders_with_names(spark, sf_dir).select("o_orderkey", spelled.alias("raw"))

@@ -6,6 +6,8 @@ clean value behind every spelling is known.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -36,82 +38,75 @@ def catalogues(spark: SparkSession, sf_dir: str) -> Catalogues:
 
 
 def state_text(name: Column, number: Column) -> Column:
-    return cycle(
-        name,
-        F.lower(name),
-        F.concat(F.lit("  "), name, F.lit(" ")),
-        F.concat(F.lit("\t"), F.lower(name), F.lit("\n")),
-        F.concat(F.lit("n"), number),
-        F.concat(F.lit("\u00a0"), name, F.lit("\u2003")),
-        F.lit("sin dato"),
+    spellings = [
+        "{name}",
+        "{lower}",
+        "  {name} ",
+        "\t{lower}\n",
+        "n{number}",
+        "\u00a0{name}\u2003",
+        "sin dato",
         None,
-    )
+    ]
+    return spell(spellings, name=name, lower=F.lower(name), number=number.cast("string"))
 
 
 def year_text(year: Column) -> Column:
     text = year.cast("string")
-    head, tail = F.substring(text, 1, 1), F.substring(text, 2, 3)
-    return cycle(
-        text,
-        F.concat(text, F.lit(".0")),
-        F.concat(F.lit(" "), text, F.lit("\n")),
-        F.concat(head, F.lit("."), tail, F.lit("e3")),
-        F.concat(head, F.lit(","), tail),
-        F.lit("SD"),
+    spellings = [
+        "{year}",
+        "{year}.0",
+        " {year}\n",
+        "{head}.{tail}e3",
+        "{head},{tail}",
+        "SD",
         None,
-        text,
-        text,
-    )
+        "{year}",
+        "{year}",
+    ]
+    head, tail = F.substring(text, 1, 1), F.substring(text, 2, 3)
+    return spell(spellings, year=text, head=head, tail=tail)
 
 
 def phenomenon_text(segment: Column) -> Column:
-    return cycle(
-        segment,
-        F.lower(segment),
-        F.concat(F.lit(" "), segment, F.lit(" ")),
-        F.lit("Sin dato"),
-        F.lit("n/a"),
-        F.lit(""),
-        F.lit(" \t "),
-        F.concat(segment, F.lit(" (TIPO)-DOS")),
-        F.concat(F.lower(segment), F.lit("/2da fase")),
+    spellings = [
+        "{segment}",
+        "{lower}",
+        " {segment} ",
+        "Sin dato",
+        "n/a",
+        "",
+        " \t ",
+        "{segment} (TIPO)-DOS",
+        "{lower}/2da fase",
         None,
-        F.initcap(segment),
-    )
+        "{lower}\r\n",
+    ]
+    return spell(spellings, segment=segment, lower=F.lower(segment))
 
 
 def count_text(count: Column) -> Column:
-    text = count.cast("string")
-    return cycle(
-        text, F.concat(text, F.lit(".0")), F.concat(F.lit(" "), text), None, F.lit("SD")
-    )
+    return spell(["{count}", "{count}.0", " {count}", None, "SD"], count=count.cast("string"))
 
 
 def number_text(amount: Column) -> Column:
-    plain, commas = amount.cast("string"), F.format_number(amount, 2)
-    return cycle(
-        commas,
-        F.concat(F.lit(" "), plain, F.lit(" ")),
-        F.concat(commas, F.lit(" \n")),
-        F.lit("SD"),
-        F.concat(plain, F.lit(" 000")),
+    spellings = [
+        "{commas}",
+        " {plain} ",
+        "{commas} \n",
+        "SD",
+        "{plain} 000",
         None,
-        F.concat(plain, F.lit("e0")),
-        F.concat(plain, F.lit("d")),
-        F.concat(F.lit("+"), plain),
-    )
+        "{plain}e0",
+        "{plain}d",
+        "+{plain}",
+    ]
+    return spell(spellings, plain=amount.cast("string"), commas=F.format_number(amount, 2))
 
 
 def money_text(amount: Column) -> Column:
-    return cycle(
-        F.concat(F.lit("$"), F.format_number(amount, 2)),
-        F.lit("-"),
-        F.lit(""),
-        F.lit("SD"),
-        None,
-        F.lit("$-"),
-        amount.cast("string"),
-    )
+    spellings = ["${commas}", "-", "", "SD", None, "$-", "{plain}"]
+    return spell(spellings, plain=amount.cast("string"), commas=F.format_number(amount, 2))
 
 
 def disasters(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -139,8 +134,8 @@ def emergencies(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def projects(spark: SparkSession, sf_dir: str) -> DataFrame:
     segment = F.col("tipo_fenomeno")
-    described = cycle(
-        F.concat(F.lower(segment), F.lit(" (uno, dos)")), F.lit("sin dato"), segment
+    described = spell(
+        ["{lower} (uno, dos)", "sin dato", "{segment}"], segment=segment, lower=F.lower(segment)
     )
     return _orders_of(spark, sf_dir, "P").select(
         "o_orderkey",
@@ -152,18 +147,18 @@ def projects(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def spell(spellings: Sequence[str | None], **values: Column) -> Column:
+    """The spelling at the order key modulo their number, with ``{name}`` filled in."""
+    position = F.col("o_orderkey") % len(spellings)
+    text = F.element_at(F.array([F.lit(spelling) for spelling in spellings]), position.cast("int") + 1)
+    for name, value in values.items():
+        text = F.replace(text, F.lit("{" + name + "}"), value)
+    return text
+
+
 def _orders_of(spark: SparkSession, sf_dir: str, status: str) -> DataFrame:
     return events(spark, sf_dir).where(F.col("tipo_evento") == status)
 
 
 def _thousands(measure: str) -> Column:
     return (F.col(measure) * 1000).cast(AMOUNT)
-
-
-def cycle(*spellings: Column | None) -> Column:
-    """The spelling whose position equals the order key modulo the number of spellings."""
-    position = F.col("o_orderkey") % len(spellings)
-    chosen = F
-    for index, spelling in enumerate(spellings):
-        chosen = chosen.when(position == index, F.lit(None) if spelling is None else spelling)
-    return chosen

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -25,8 +27,24 @@ FLAT_COLUMNS = [
 ]
 
 
+# Declared, so that building a query does not start a job to infer them.
+SCHEMAS = {
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": """c_custkey bigint, c_name string, c_nationkey int, c_acctbal double,
+        c_mktsegment string""",
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
+    "part": """p_partkey bigint, p_name string, p_brand string, p_type string, p_size int,
+        p_retailprice double""",
+    "orders": """o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double,
+        o_orderdate timestamp_ntz, o_orderpriority string""",
+    "lineitem": """l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int,
+        l_quantity double, l_extendedprice double, l_discount double, l_tax double,
+        l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz""",
+}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spark.read.schema(SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
 def in_years(date: Column, years: YearRange) -> Column:
@@ -68,14 +86,17 @@ def events(spark: SparkSession, sf_dir: str) -> DataFrame:
     Line items are reduced to one row per order before the join. The left join on that unique
     key disappears from the plan of every query that needs none of its columns.
     """
-    quantity = F.col("l_quantity").cast(AMOUNT)
+    # Quantities have at most two decimals, so sums of hundredths are exact, and unlike decimals
+    # they are added as plain longs.
+    hundredths = F.rint(F.col("l_quantity") * 100).cast("bigint")
+    filled = F.col("l_linestatus") == "F"
     lines = (
         table(spark, sf_dir, "lineitem")
         .groupBy("l_orderkey")
         .agg(
             F.count("*").cast("int").alias("_lines"),
-            F.sum(quantity).cast(AMOUNT).alias("_quantity"),
-            F.sum(F.when(F.col("l_linestatus") == "F", quantity)).cast(AMOUNT).alias("_filled"),
+            F.sum(hundredths).alias("_quantity"),
+            F.sum(F.when(filled, hundredths)).alias("_filled"),
         )
     )
     return (
@@ -90,9 +111,13 @@ def events(spark: SparkSession, sf_dir: str) -> DataFrame:
             "tipo_fenomeno",
             "tipo_evento",
             F.coalesce("_lines", F.lit(0)).alias("municipios_afectados"),
-            F.coalesce("_quantity", F.lit(0)).cast(AMOUNT).alias("poblacion_afectada"),
-            F.coalesce("_filled", F.lit(0)).cast(AMOUNT).alias("poblacion_atendida"),
+            _amount("_quantity").alias("poblacion_afectada"),
+            _amount("_filled").alias("poblacion_atendida"),
             "costo_total",
             "cantidad_eventos",
         )
     )
+
+
+def _amount(hundredths: str) -> Column:
+    return (F.coalesce(hundredths, F.lit(0)) * Decimal("0.01")).cast(AMOUNT)
