@@ -17,8 +17,10 @@ from hazardmart.trial import staging
 from hazardmart.trial.tables import (
     PERIODS,
     YEARS,
+    customers_with_orders,
     events,
     in_years,
+    measures,
     orders_with_names,
     table,
 )
@@ -31,7 +33,7 @@ def period_comparison(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def yearly_evolution(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return analytics.yearly_evolution(events(spark, sf_dir), PERIODS)
+    return analytics.yearly_evolution(measures(spark, sf_dir), PERIODS)
 
 
 def state_ranking(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -62,7 +64,7 @@ def star_cube_top20(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def fact_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return analytics.fact_totals(events(spark, sf_dir))
+    return analytics.fact_totals(measures(spark, sf_dir))
 
 
 def kpi_cards(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -78,7 +80,7 @@ def top5_states_total(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def yearly_series(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return dashboard.yearly_series(events(spark, sf_dir), PERIODS)
+    return dashboard.yearly_series(measures(spark, sf_dir), PERIODS)
 
 
 def growth_by_phenomenon(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -90,7 +92,7 @@ def period_pivot(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def dim_state(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return star.dim_state(orders_with_names(spark, sf_dir))
+    return star.dim_state(customers_with_orders(spark, sf_dir))
 
 
 def dim_time(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -100,7 +102,7 @@ def dim_time(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def dim_phenomenon(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Market segments of customers with orders."""
-    named = orders_with_names(spark, sf_dir).withColumnRenamed("tipo_fenomeno", "fenomeno")
+    named = customers_with_orders(spark, sf_dir).withColumnRenamed("tipo_fenomeno", "fenomeno")
     return star.dim_phenomenon(named)
 
 
@@ -275,7 +277,7 @@ def dq_null_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def dq_negative_measures(spark: SparkSession, sf_dir: str) -> DataFrame:
     customer = table(spark, sf_dir, "customer")
-    orders = events(spark, sf_dir)
+    orders = measures(spark, sf_dir)
     return quality.stack(
         [
             quality.negative_counts(customer, ["c_acctbal"]),

@@ -14,17 +14,6 @@ from hazardmart.schemas import AMOUNT
 PERIODS = Periods(first=1998, last=1999)
 YEARS = YearRange(first=1996, last=2001)
 
-FLAT_COLUMNS = [
-    "estado",
-    "anio",
-    "tipo_fenomeno",
-    "tipo_evento",
-    "municipios_afectados",
-    "poblacion_afectada",
-    "poblacion_atendida",
-    "costo_total",
-    "cantidad_eventos",
-]
 
 
 # Declared, so that building a query does not start a job to infer them.
@@ -54,34 +43,36 @@ def in_years(date: Column, years: YearRange) -> Column:
     return (date >= start) & (date < end)
 
 
-def orders_with_names(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Orders with state and phenomenon of their customer.
-
-    Customers grow with the data, so no hint asks to broadcast them: beyond the size limit this
-    is a sort-merge join whose hot customers adaptive execution splits.
-    """
-    orders = table(spark, sf_dir, "orders")
-    customer = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey", "c_mktsegment")
-    nation = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
-    return (
-        orders.join(customer, F.col("o_custkey") == F.col("c_custkey"))
-        .join(nation, F.col("c_nationkey") == F.col("n_nationkey"))
-        .select(
-            "o_orderkey",
-            "o_orderdate",
-            "n_nationkey",
-            F.col("n_name").alias("estado"),
-            F.year("o_orderdate").alias("anio"),
-            F.col("c_mktsegment").alias("tipo_fenomeno"),
-            F.col("o_orderstatus").alias("tipo_evento"),
-            F.col("o_totalprice").cast(AMOUNT).alias("costo_total"),
-            F.lit(1).alias("cantidad_eventos"),
-        )
+def customers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers with the state and phenomenon they stand for."""
+    customer = table(spark, sf_dir, "customer")
+    nation = table(spark, sf_dir, "nation")
+    return customer.join(nation, F.col("c_nationkey") == F.col("n_nationkey")).select(
+        "c_custkey",
+        "n_nationkey",
+        F.col("n_name").alias("estado"),
+        F.col("c_mktsegment").alias("tipo_fenomeno"),
     )
 
 
+def customers_with_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers that placed an order; orders shrink to distinct customers before the join."""
+    active = table(spark, sf_dir, "orders").select("o_custkey").distinct()
+    return customers(spark, sf_dir).join(active, F.col("c_custkey") == F.col("o_custkey"))
+
+
+def orders_with_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders with the names of their customer and without line item measures."""
+    return _named(_orders(spark, sf_dir), customers(spark, sf_dir))
+
+
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One row per order with all measures.
+    """One row per order with all names and measures."""
+    return _named(measures(spark, sf_dir), customers(spark, sf_dir))
+
+
+def measures(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per order with all measures; enough for queries without state and phenomenon.
 
     Line items are reduced to one row per order before the join. The left join on that unique
     key disappears from the plan of every query that needs none of its columns.
@@ -100,15 +91,13 @@ def events(spark: SparkSession, sf_dir: str) -> DataFrame:
         )
     )
     return (
-        orders_with_names(spark, sf_dir)
+        _orders(spark, sf_dir)
         .join(lines, F.col("o_orderkey") == F.col("l_orderkey"), "left")
         .select(
             "o_orderkey",
+            "o_custkey",
             "o_orderdate",
-            "n_nationkey",
-            "estado",
             "anio",
-            "tipo_fenomeno",
             "tipo_evento",
             F.coalesce("_lines", F.lit(0)).alias("municipios_afectados"),
             _amount("_quantity").alias("poblacion_afectada"),
@@ -119,5 +108,28 @@ def events(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "orders").select(
+        "o_orderkey",
+        "o_custkey",
+        "o_orderdate",
+        F.year("o_orderdate").alias("anio"),
+        F.col("o_orderstatus").alias("tipo_evento"),
+        F.col("o_totalprice").cast(AMOUNT).alias("costo_total"),
+        F.lit(1).alias("cantidad_eventos"),
+    )
+
+
+def _named(orders: DataFrame, customers: DataFrame) -> DataFrame:
+    """Orders joined to their customers.
+
+    Customers grow with the data, so no hint asks to broadcast them: beyond the size limit this
+    is a sort-merge join whose hot customers adaptive execution splits.
+    """
+    return orders.join(customers, F.col("o_custkey") == F.col("c_custkey")).drop(
+        "o_custkey", "c_custkey"
+    )
+
+
 def _amount(hundredths: str) -> Column:
     return (F.coalesce(hundredths, F.lit(0)) * Decimal("0.01")).cast(AMOUNT)
