@@ -81,8 +81,15 @@ def pareto_state_count(events: DataFrame, top_percent: int = 80) -> DataFrame:
     )
 
 
+def views(events: DataFrame, periods: Periods = PERIODS) -> dict[str, DataFrame]:
+    """The five published analytics over one flat event view, by view name."""
+    return {
+        name: analytic(events) if analytic is analytics.pareto else analytic(events, periods)
+        for name, analytic in VIEWS.items()
+    }
+
+
 def publish_views(events: DataFrame, periods: Periods = PERIODS) -> None:
-    """Register the five analytics as session views over one flat event view."""
-    for name, analytic in VIEWS.items():
-        result = analytic(events) if analytic is analytics.pareto else analytic(events, periods)
+    """Register the five analytics as session views that follow ``events``."""
+    for name, result in views(events, periods).items():
         result.createOrReplaceTempView(name)

@@ -3,6 +3,9 @@
 Each load writes to a folder of its own and is published only after its checks passed, so a
 failed load leaves the previous one in place. The tables written in between also cut lineage:
 a lost executor costs the running stage, not the load.
+
+The fact is scanned once for all published analytics: they are sums, so they are computed from
+its consolidation to one row per state, year, phenomenon and type, and stored next to it.
 """
 
 from __future__ import annotations
@@ -13,13 +16,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hazardmart.catalogues import Catalogues
-from hazardmart.operators.dashboard import publish_views
+from hazardmart.operators.dashboard import VIEWS, views
+from hazardmart.operators.grain import consolidate
 from hazardmart.operators.keys import insert_if_absent
 from hazardmart.operators.quality import (
     duplicate_count,
     fact_checks,
+    integrity_nulls,
     null_counts,
     overlong_counts,
+    quality_metrics,
     require_zero,
     stack,
 )
@@ -43,9 +49,12 @@ from hazardmart.schemas import (
     STAR_TABLES,
     TEXT_LENGTHS,
 )
-from hazardmart.sources.writers import publish, write_table
+from hazardmart.sources.writers import publish, write_report, write_table
 
 EVENT_FOLDER = "eventos_conformados"
+CUBE_FOLDER = "eventos_consolidados"
+REPORT_FOLDER = "reporte"
+CUBE_KEYS = ["estado", "anio", "tipo_fenomeno", "tipo_evento"]
 
 
 @dataclass(frozen=True)
@@ -90,13 +99,15 @@ def run_load(
     years: YearRange = YEARS,
     periods: Periods = PERIODS,
     include_prevention: bool = False,
+    consolidated: bool = False,
     previous: Load | None = None,
     database: str | None = None,
 ) -> Load:
     """Run one load into ``folder``, which must be new, and publish it.
 
     Without ``previous`` the dimensions are numbered afresh; with it, members the previous load
-    knows keep their ids and new ones are appended.
+    knows keep their ids and new ones are appended. ``consolidated`` loads the fact with one row
+    per state, year, phenomenon and type instead of one per declaration; all sums stay the same.
     """
     spark = staging.disasters.sparkSession
     catalogues = catalogues or Catalogues.official(spark)
@@ -125,13 +136,15 @@ def run_load(
     written = Dimensions(*[spark.read.parquet(f"{folder}/{name}") for name in DIMENSION_KEYS])
 
     # The year travels along as the partition column, so year filters prune folders.
-    fact = load_fact(accepted, written, keep=["anio"])
+    grained = consolidate(accepted) if consolidated else accepted
+    fact = load_fact(grained, written, keep=["anio"])
     write_table(fact, f"{folder}/{FACT_TABLE}", partition_by="anio", mode="error")
 
     load = read_load(spark, folder)
     validate(load)
-    publish(spark, folder, STAR_TABLES, database)
-    publish_views(load.flat(), periods)
+    _write_analytics(load, periods)
+    _write_reports(load, staging)
+    publish(spark, folder, [*STAR_TABLES, *VIEWS], database)
     return load
 
 
@@ -152,6 +165,28 @@ def validate(load: Load) -> None:
     require_zero(stack(checks))
 
 
+def _write_analytics(load: Load, periods: Periods) -> None:
+    write_table(consolidate(load.flat(), CUBE_KEYS), f"{load.folder}/{CUBE_FOLDER}", mode="error")
+    cube = load.fact.sparkSession.read.parquet(f"{load.folder}/{CUBE_FOLDER}")
+    for name, result in views(cube, periods).items():
+        write_table(result, f"{load.folder}/{name}", mode="error")
+
+
+def _write_reports(load: Load, staging: Staging) -> None:
+    sources = {
+        "desastres": staging.disasters,
+        "emergencias": staging.emergencies,
+        "proyectos": staging.projects,
+    }
+    reports = {
+        "calidad": quality_metrics(sources, load.events),
+        "integridad": integrity_nulls(load.events),
+        "rechazos": load.rejected.groupBy("tipo_evento", "verdict").count(),
+    }
+    for name, rows in reports.items():
+        write_report(rows, f"{load.folder}/{REPORT_FOLDER}/{name}")
+
+
 def _extend(existing: Dimensions, events: DataFrame) -> Dimensions:
     combinations = member_sets(events)
     extended = []

@@ -39,6 +39,11 @@ def write_jdbc(
     )
 
 
+def write_report(rows: DataFrame, path: str) -> None:
+    """Metrics as JSON lines in one file; for reports, whose rows are a fixed handful."""
+    rows.coalesce(1).write.json(path)
+
+
 def publish(
     spark: SparkSession, folder: str, tables: Iterable[str], database: str | None = None
 ) -> None:

@@ -139,8 +139,7 @@ def test_verdicts_cover_every_row(spark, staging):
 
 
 def test_whole_load(spark, staging, load):
-    publish(spark, load.folder, STAR_TABLES)
-    dashboard.publish_views(load.flat())
+    publish(spark, load.folder, [*STAR_TABLES, *dashboard.VIEWS])
     assert load.events.count() == 5
     assert load.rejected.count() == 6
     assert rows_of(load.dimensions.estado) == [
@@ -167,7 +166,10 @@ def test_whole_load(spark, staging, load):
 
 
 def test_load_with_prevention(spark, staging, tmp_path):
-    load = run_load(staging, f"{tmp_path}/prevention", include_prevention=True)
+    load = run_load(
+        staging, f"{tmp_path}/prevention", include_prevention=True, consolidated=True
+    )
+    assert load.fact.count() == load.events.count()
     prevention = load.events.where("tipo_evento = 'Preventivo'").collect()
     assert [(row["estado"], row["fenomeno"]) for row in prevention] == [("Yucatán", "Geológico")]
     assert prevention[0]["poblacion_afectada"] == Decimal("2320898.00")
@@ -206,6 +208,22 @@ def test_published_database_views(spark, load):
     assert spark.table(f"riesgos.{FACT_TABLE}").count() == 5
 
 
+def test_stored_analytics_equal_live_ones(spark, load):
+    for name, result in dashboard.views(load.flat()).items():
+        assert rows_of(spark.read.parquet(f"{load.folder}/{name}")) == rows_of(result)
+
+
+def test_reports_are_written(spark, load):
+    rejected = spark.read.json(f"{load.folder}/reporte/rechazos")
+    assert {(row["verdict"], row["count"]) for row in rejected.collect()} == {
+        ("unknown_state", 2),
+        ("year_out_of_range", 3),
+        ("null_phenomenon", 1),
+    }
+    metrics = spark.read.json(f"{load.folder}/reporte/calidad")
+    assert metrics.where("metric = 'leidos_proyectos'").collect()[0]["texto"] == "3"
+
+
 def test_orphans_and_duplicates_are_found(spark, staging, load):
     fewer = star.Dimensions(
         load.dimensions.estado.where("id_estado > 1"),
