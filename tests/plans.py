@@ -4,8 +4,8 @@ import io
 from contextlib import redirect_stdout
 
 
-def plan_of(frame) -> str:
+def plan_of(frame, mode: str = "simple") -> str:
     captured = io.StringIO()
     with redirect_stdout(captured):
-        frame.explain()
+        frame.explain(mode)
     return captured.getvalue()
