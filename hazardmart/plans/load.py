@@ -44,6 +44,7 @@ from hazardmart.plans.star import (
 )
 from hazardmart.schemas import (
     DIMENSION_KEYS,
+    FACT_KEYS,
     FACT_TABLE,
     MEASURES,
     STAR_TABLES,
@@ -54,7 +55,6 @@ from hazardmart.sources.writers import publish, write_report, write_table
 EVENT_FOLDER = "eventos_conformados"
 CUBE_FOLDER = "eventos_consolidados"
 REPORT_FOLDER = "reporte"
-CUBE_KEYS = ["estado", "anio", "tipo_fenomeno", "tipo_evento"]
 
 
 @dataclass(frozen=True)
@@ -166,7 +166,10 @@ def validate(load: Load) -> None:
 
 
 def _write_analytics(load: Load, periods: Periods) -> None:
-    write_table(consolidate(load.flat(), CUBE_KEYS), f"{load.folder}/{CUBE_FOLDER}", mode="error")
+    # Summed per surrogate key first, so that only the few consolidated rows look up names.
+    by_key = consolidate(load.fact, [*FACT_KEYS, "anio"])
+    named = flat_events(by_key, load.dimensions)
+    write_table(named, f"{load.folder}/{CUBE_FOLDER}", mode="error")
     cube = load.fact.sparkSession.read.parquet(f"{load.folder}/{CUBE_FOLDER}")
     for name, result in views(cube, periods).items():
         write_table(result, f"{load.folder}/{name}", mode="error")

@@ -18,6 +18,20 @@ SETTINGS = {
 }
 
 
+def shuffle_settings(shuffle_bytes: int, partition_bytes: int = 128 << 20) -> dict[str, str]:
+    """Settings under which the largest shuffle of a load splits into tasks that fit in memory.
+
+    Adaptive execution merges partitions that turn out small but cannot add any, so the number
+    it starts from has to suit the largest shuffle. Joining on order keys, for instance, moves
+    the two key columns and the measures of all line items.
+    """
+    partitions = max(200, -(-shuffle_bytes // partition_bytes))
+    return {
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(partition_bytes),
+    }
+
+
 def build_session(
     app_name: str = "hazardmart", master: str | None = None, **settings: str
 ) -> SparkSession:

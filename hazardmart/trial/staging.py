@@ -39,12 +39,12 @@ def catalogues(spark: SparkSession, sf_dir: str) -> Catalogues:
 
 def state_text(name: Column, number: Column) -> Column:
     spellings = [
-        "{name}",
-        "{lower}",
-        "  {name} ",
-        "\t{lower}\n",
-        "n{number}",
-        "\u00a0{name}\u2003",
+        "<name>",
+        "<lower>",
+        "  <name> ",
+        "\t<lower>\n",
+        "n<number>",
+        "\u00a0<name>\u2003",
         "sin dato",
         None,
     ]
@@ -54,15 +54,15 @@ def state_text(name: Column, number: Column) -> Column:
 def year_text(year: Column) -> Column:
     text = year.cast("string")
     spellings = [
-        "{year}",
-        "{year}.0",
-        " {year}\n",
-        "{head}.{tail}e3",
-        "{head},{tail}",
+        "<year>",
+        "<year>.0",
+        " <year>\n",
+        "<head>.<tail>e3",
+        "<head>,<tail>",
         "SD",
         None,
-        "{year}",
-        "{year}",
+        "<year>",
+        "<year>",
     ]
     head, tail = F.substring(text, 1, 1), F.substring(text, 2, 3)
     return spell(spellings, year=text, head=head, tail=tail)
@@ -70,42 +70,42 @@ def year_text(year: Column) -> Column:
 
 def phenomenon_text(segment: Column) -> Column:
     spellings = [
-        "{segment}",
-        "{lower}",
-        " {segment} ",
+        "<segment>",
+        "<lower>",
+        " <segment> ",
         "Sin dato",
         "n/a",
         "",
         " \t ",
-        "{segment} (TIPO)-DOS",
-        "{lower}/2da fase",
+        "<segment> (TIPO)-DOS",
+        "<lower>/2da fase",
         None,
-        "{lower}\r\n",
+        "<lower>\r\n",
     ]
     return spell(spellings, segment=segment, lower=F.lower(segment))
 
 
 def count_text(count: Column) -> Column:
-    return spell(["{count}", "{count}.0", " {count}", None, "SD"], count=count.cast("string"))
+    return spell(["<count>", "<count>.0", " <count>", None, "SD"], count=count.cast("string"))
 
 
 def number_text(amount: Column) -> Column:
     spellings = [
-        "{commas}",
-        " {plain} ",
-        "{commas} \n",
+        "<commas>",
+        " <plain> ",
+        "<commas> \n",
         "SD",
-        "{plain} 000",
+        "<plain> 000",
         None,
-        "{plain}e0",
-        "{plain}d",
-        "+{plain}",
+        "<plain>e0",
+        "<plain>d",
+        "+<plain>",
     ]
     return spell(spellings, plain=amount.cast("string"), commas=F.format_number(amount, 2))
 
 
 def money_text(amount: Column) -> Column:
-    spellings = ["${commas}", "-", "", "SD", None, "$-", "{plain}"]
+    spellings = ["$<commas>", "-", "", "SD", None, "$-", "<plain>"]
     return spell(spellings, plain=amount.cast("string"), commas=F.format_number(amount, 2))
 
 
@@ -135,7 +135,7 @@ def emergencies(spark: SparkSession, sf_dir: str) -> DataFrame:
 def projects(spark: SparkSession, sf_dir: str) -> DataFrame:
     segment = F.col("tipo_fenomeno")
     described = spell(
-        ["{lower} (uno, dos)", "sin dato", "{segment}"], segment=segment, lower=F.lower(segment)
+        ["<lower> (uno, dos)", "sin dato", "<segment>"], segment=segment, lower=F.lower(segment)
     )
     return _orders_of(spark, sf_dir, "P").select(
         "o_orderkey",
@@ -148,11 +148,11 @@ def projects(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def spell(spellings: Sequence[str | None], **values: Column) -> Column:
-    """The spelling at the order key modulo their number, with ``{name}`` filled in."""
-    position = F.col("o_orderkey") % len(spellings)
-    text = F.element_at(F.array([F.lit(spelling) for spelling in spellings]), position.cast("int") + 1)
+    """The spelling at the order key modulo their number, with ``<name>`` filled in."""
+    listed = ", ".join("NULL" if spelling is None else f"'{spelling}'" for spelling in spellings)
+    text = F.expr(f"array({listed})[int(o_orderkey % {len(spellings)})]")
     for name, value in values.items():
-        text = F.replace(text, F.lit("{" + name + "}"), value)
+        text = F.replace(text, F.lit(f"<{name}>"), value)
     return text
 
 

@@ -77,17 +77,15 @@ def measures(spark: SparkSession, sf_dir: str) -> DataFrame:
     Line items are reduced to one row per order before the join. The left join on that unique
     key disappears from the plan of every query that needs none of its columns.
     """
-    # Quantities have at most two decimals, so sums of hundredths are exact, and unlike decimals
-    # they are added as plain longs.
-    hundredths = F.rint(F.col("l_quantity") * 100).cast("bigint")
+    quantity = _hundredths("l_quantity")
     filled = F.col("l_linestatus") == "F"
     lines = (
         table(spark, sf_dir, "lineitem")
         .groupBy("l_orderkey")
         .agg(
             F.count("*").cast("int").alias("_lines"),
-            F.sum(hundredths).alias("_quantity"),
-            F.sum(F.when(filled, hundredths)).alias("_filled"),
+            F.sum(quantity).alias("_quantity"),
+            F.sum(F.when(filled, quantity)).alias("_filled"),
         )
     )
     return (
@@ -100,8 +98,8 @@ def measures(spark: SparkSession, sf_dir: str) -> DataFrame:
             "anio",
             "tipo_evento",
             F.coalesce("_lines", F.lit(0)).alias("municipios_afectados"),
-            _amount("_quantity").alias("poblacion_afectada"),
-            _amount("_filled").alias("poblacion_atendida"),
+            _amount(F.coalesce("_quantity", F.lit(0))).alias("poblacion_afectada"),
+            _amount(F.coalesce("_filled", F.lit(0))).alias("poblacion_atendida"),
             "costo_total",
             "cantidad_eventos",
         )
@@ -115,7 +113,7 @@ def _orders(spark: SparkSession, sf_dir: str) -> DataFrame:
         "o_orderdate",
         F.year("o_orderdate").alias("anio"),
         F.col("o_orderstatus").alias("tipo_evento"),
-        F.col("o_totalprice").cast(AMOUNT).alias("costo_total"),
+        _amount(_hundredths("o_totalprice")).alias("costo_total"),
         F.lit(1).alias("cantidad_eventos"),
     )
 
@@ -131,5 +129,10 @@ def _named(orders: DataFrame, customers: DataFrame) -> DataFrame:
     )
 
 
-def _amount(hundredths: str) -> Column:
-    return (F.coalesce(hundredths, F.lit(0)) * Decimal("0.01")).cast(AMOUNT)
+def _hundredths(measure: str) -> Column:
+    """A double with at most two decimals as a whole number, which is exact and cheap to add."""
+    return F.rint(F.col(measure) * 100).cast("bigint")
+
+
+def _amount(hundredths: Column) -> Column:
+    return (hundredths * Decimal("0.01")).cast(AMOUNT)
