@@ -28,7 +28,9 @@ def period_comparison(events: DataFrame, periods: Periods = PERIODS) -> DataFram
     year = F.col("anio")
     during, after = F.col("eventos_pandemia"), F.col("eventos_postpandemia")
     trend = (
-        F.when(after > during, "AUMENTO").when(after < during, "DISMINUCIÓN").otherwise("SIN CAMBIO")
+        F.when(after > during, "AUMENTO")
+        .when(after < during, "DISMINUCIÓN")
+        .otherwise("SIN CAMBIO")
     )
     return (
         events.groupBy("estado", "tipo_evento", "tipo_fenomeno")

@@ -123,12 +123,13 @@ def quality_metrics(sources: Mapping[str, DataFrame], events: DataFrame) -> Data
         *[F.sum(name).cast(AMOUNT_SUM).alias(name) for name in sums],
     )
     read = row_counts(sources).select(
-        F.concat(F.lit("leidos_"), "source").alias("metric"), F.col("n").cast(AMOUNT_SUM).alias("value")
+        F.concat(F.lit("leidos_"), "source").alias("metric"),
+        F.col("n").cast(AMOUNT_SUM).alias("value"),
     )
     metrics = read.unionByName(figures.unpivot([], figures.columns, "metric", "value"))
-    money = F.concat(F.lit("$"), F.format_number("value", 2))
+    money, number = F.concat(F.lit("$"), F.format_number("value", 2)), F.format_number("value", 0)
     return metrics.withColumn(
-        "texto", F.when(F.col("metric") == "costo_total", money).otherwise(F.format_number("value", 0))
+        "texto", F.when(F.col("metric") == "costo_total", money).otherwise(number)
     )
 
 
@@ -142,7 +143,9 @@ def integrity_nulls(events: DataFrame) -> DataFrame:
     )
 
 
-def missing_tables(spark: SparkSession, expected: Iterable[str], database: str | None = None) -> list[str]:
+def missing_tables(
+    spark: SparkSession, expected: Iterable[str], database: str | None = None
+) -> list[str]:
     """Expected tables or views the catalog does not list, sorted by name."""
     listed = {table.name for table in spark.catalog.listTables(database)}
     return sorted(set(expected) - listed)

@@ -14,12 +14,14 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from hazardmart.catalogues import Catalogues
 from hazardmart.operators.dashboard import VIEWS, views
 from hazardmart.operators.grain import consolidate
 from hazardmart.operators.keys import insert_if_absent
 from hazardmart.operators.quality import (
+    DataQualityError,
     duplicate_count,
     fact_checks,
     integrity_nulls,
@@ -44,12 +46,14 @@ from hazardmart.plans.star import (
 )
 from hazardmart.schemas import (
     DIMENSION_KEYS,
+    EVENTS,
     FACT_KEYS,
     FACT_TABLE,
     MEASURES,
     STAR_TABLES,
     TEXT_LENGTHS,
 )
+from hazardmart.sources.readers import read_parquet
 from hazardmart.sources.writers import publish, write_report, write_table
 
 EVENT_FOLDER = "eventos_conformados"
@@ -80,8 +84,13 @@ class Load:
         return flat_events(self.fact, self.dimensions)
 
 
+def _read_conformed(spark: SparkSession, folder: str) -> DataFrame:
+    schema = T.StructType([*EVENTS, T.StructField("verdict", T.StringType())])
+    return read_parquet(spark, f"{folder}/{EVENT_FOLDER}", schema)
+
+
 def read_load(spark: SparkSession, folder: str) -> Load:
-    conformed = spark.read.parquet(f"{folder}/{EVENT_FOLDER}")
+    conformed = _read_conformed(spark, folder)
     tables = {name: spark.read.parquet(f"{folder}/{name}") for name in STAR_TABLES}
     return Load(
         folder=folder,
@@ -121,10 +130,10 @@ def run_load(
     judged = with_verdict(events, catalogues.states, years)
     write_table(judged, f"{folder}/{EVENT_FOLDER}", partition_by="verdict", mode="error")
     accepted = (
-        spark.read.parquet(f"{folder}/{EVENT_FOLDER}")
-        .where(F.col("verdict") == ACCEPTED)
-        .drop("verdict")
+        _read_conformed(spark, folder).where(F.col("verdict") == ACCEPTED).drop("verdict")
     )
+    if accepted.isEmpty():
+        raise DataQualityError("no row was accepted")
 
     dimensions = (
         build_dimensions(accepted, types)

@@ -14,8 +14,6 @@ from hazardmart.schemas import AMOUNT
 PERIODS = Periods(first=1998, last=1999)
 YEARS = YearRange(first=1996, last=2001)
 
-
-
 # Declared, so that building a query does not start a job to infer them.
 SCHEMAS = {
     "nation": "n_nationkey int, n_name string, n_regionkey int",

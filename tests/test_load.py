@@ -196,6 +196,12 @@ def test_broken_load_is_not_published(spark, staging, load, tmp_path):
     assert spark.table(FACT_TABLE).where("poblacion_afectada < 0").count() == 0
 
 
+def test_load_without_any_accepted_row_fails(staging, tmp_path):
+    nothing = Staging(*[rows.where("false") for rows in vars(staging).values()])
+    with pytest.raises(quality.DataQualityError, match="no row was accepted"):
+        run_load(nothing, f"{tmp_path}/empty")
+
+
 def test_load_folder_must_be_new(staging, load):
     with pytest.raises(AnalysisException, match="(?i)exists"):
         run_load(staging, load.folder)
