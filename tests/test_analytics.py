@@ -3,6 +3,7 @@
 from decimal import Decimal
 
 import pytest
+from pyspark.sql import functions as F
 
 from hazardmart.operators import analytics, dashboard, grain
 from hazardmart.periods import Periods
@@ -138,7 +139,7 @@ def test_growth_leaves_out_rare_groups(spark):
 
 def test_pareto_crossing_state_is_outside_the_top(spark):
     exact = analytics.pareto(
-        events(spark, ("A", 2020, "f", "d", 50), ("B", 2020, "f", "d", 30), ("C", 2020, "f", "d", 20))
+        events(spark, *[(state, 2020, "f", "d", n) for state, n in [("A", 50), ("B", 30), ("C", 20)]])
     ).collect()
     assert [(row["pct_acumulado"], row["grupo_pareto"]) for row in exact] == [
         (50.0, "TOP 80% de eventos"),
@@ -146,7 +147,7 @@ def test_pareto_crossing_state_is_outside_the_top(spark):
         (100.0, "Resto"),
     ]
     above = analytics.pareto(
-        events(spark, ("A", 2020, "f", "d", 500), ("B", 2020, "f", "d", 301), ("C", 2020, "f", "d", 199))
+        events(spark, *[(state, 2020, "f", "d", n) for state, n in [("A", 500), ("B", 301), ("C", 199)]])
     ).collect()
     assert [row["grupo_pareto"] for row in above] == ["TOP 80% de eventos", "Resto", "Resto"]
 
@@ -165,7 +166,10 @@ def test_empty_input_gives_empty_results(spark):
 
 def test_missing_measures_count_as_zero_in_totals(spark):
     rows = spark.createDataFrame(
-        [("A", 2020, "f", "d", None, None, None, None, 1), ("A", 2020, "f", "d", 1, Decimal("2.50"), None, Decimal("0.10"), 1)],
+        [
+            ("A", 2020, "f", "d", None, None, None, None, 1),
+            ("A", 2020, "f", "d", 1, Decimal("2.50"), None, Decimal("0.10"), 1),
+        ],
         SCHEMA,
     )
     total = analytics.fact_totals(rows).collect()[0]
@@ -213,7 +217,5 @@ def test_latest_per_key_breaks_ties(spark):
     rows = spark.createDataFrame(
         [("A", 1, 1), ("A", 2, 5), ("A", 2, 9), ("B", 3, 1)], "k string, d int, id int"
     )
-    from pyspark.sql import functions as F
-
     latest = grain.latest_per_key(rows, ["k"], [F.desc("d"), F.desc("id")])
     assert sorted(map(tuple, latest.collect())) == [("A", 2, 9), ("B", 3, 1)]

@@ -67,7 +67,8 @@ def test_accepted_and_rejected_partition_the_input(spark):
     values = ["Jalisco", "Jalisco", "SIN DATO", "SIN DATO", "SIN DATO", None, "JALISCO"]
     rows = spark.createDataFrame([(v,) for v in values], "estado string")
     accepted = conform.keep_valid(rows, "estado", states)
-    rejected = {row["valor"]: row["n"] for row in conform.rejected_values(rows, "estado", states).collect()}
+    rejects = conform.rejected_values(rows, "estado", states).collect()
+    rejected = {row["valor"]: row["n"] for row in rejects}
     assert [row["estado"] for row in accepted.collect()] == ["Jalisco", "Jalisco"]
     assert rejected == {"SIN DATO": 3, None: 1, "JALISCO": 1}
 
