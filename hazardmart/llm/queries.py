@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hazardmart.llm import bpe_codec, mixing, neighbours, token_counts, topk, url_filter
+from hazardmart.llm import bpe_codec, mixing, near_dedup, neighbours, token_counts, topk, url_filter
 from hazardmart.llm.common import read
 
 RULES = url_filter.Rules(
@@ -24,6 +24,10 @@ def op2_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neighbours.nearest_neighbours(vectors, vectors.filter("vec_id % 100 = 0"), k=10)
 
 
+def op3_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.near_duplicates(read(spark, sf_dir, "documents"))
+
+
 def op7_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_codec.round_trip_digests(read(spark, sf_dir, "documents"))
 
@@ -46,6 +50,7 @@ QUERIES = {
     for query in (
         op1_token_counts,
         op2_nearest_neighbours,
+        op3_near_duplicates,
         op7_bpe_codec,
         op8_source_mix,
         op9_exact_top_k,
