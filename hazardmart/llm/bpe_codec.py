@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from hazardmart.llm.byte_bpe import ByteBpe, default_tokenizer, load
-from hazardmart.llm.common import BoundedCache, slices, texts
+from hazardmart.llm.common import BoundedCache, extended, slices, texts
 
 ID_BYTES = np.dtype("<u4")
 
@@ -93,7 +93,7 @@ def encode(docs: DataFrame, text: str = "text", tokenizer: str = "") -> DataFram
     """
     path = tokenizer or default_tokenizer()
     kept = docs.select(*_without(docs, {text.lower(), "n_tokens", "token_ids"}))
-    schema = kept.schema.add("n_tokens", "long").add("token_ids", "binary")
+    schema = extended(kept, n_tokens="long", token_ids="binary")
     names = kept.columns
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -113,7 +113,7 @@ def decode(encoded: DataFrame, text: str = "text", tokenizer: str = "") -> DataF
     """The rows without their ids, with the decoded ``text``; null ids give the empty text."""
     path = tokenizer or default_tokenizer()
     kept = encoded.select(*_without(encoded, {text.lower(), "token_ids"}))
-    schema = kept.schema.add(text, "string")
+    schema = extended(kept, **{text: "string"})
     names = kept.columns
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
+
+from hazardmart.sources.landed import land
 
 # Texts held as Python strings at the same time; the rest of a batch stays in Arrow buffers.
 ROWS_AT_ONCE = 256
@@ -30,6 +33,12 @@ def texts(batch: pa.RecordBatch, name: str = "text") -> list[str]:
     return [text or "" for text in batch.column(name).to_pylist()]
 
 
+def extended(frame: DataFrame, **kinds: str) -> StructType:
+    """The schema of ``frame`` with further columns of the named types."""
+    added = StructType.fromDDL(", ".join(f"{name} {kind}" for name, kind in kinds.items()))
+    return StructType([*frame.schema.fields, *added.fields])
+
+
 class BoundedCache(dict):
     """Values computed on first use; emptied at ``entries``, so that a worker's memory stays bounded."""
 
@@ -47,11 +56,52 @@ class BoundedCache(dict):
 
 
 def word_hashes() -> BoundedCache:
-    """64-bit hashes of byte strings."""
+    """64-bit hashes of words, as strings (in UTF-8) or as bytes."""
     return BoundedCache(xxhash.xxh3_64_intdigest)
 
 
-def held_out_remainder(key, parts: int):
+def with_score(docs: DataFrame, name: str, scorer: Callable[[], Callable[[str], float]]) -> DataFrame:
+    """The rows with a score of their whole text (null: empty) as column ``name``.
+
+    ``scorer`` is called once per task and gives the function from text to score.
+    """
+    kept = docs.drop(name)
+    names, schema = kept.columns, extended(kept, **{name: "double"})
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        score = scorer()
+        for batch in slices(batches):
+            scores = pa.array(map(score, texts(batch)), pa.float64())
+            yield pa.RecordBatch.from_arrays([*batch.columns, scores], names=[*names, name])
+
+    return kept.mapInArrow(run, schema)
+
+
+def sampled_labels(labels: DataFrame, label: str, usable: Column, sample: int) -> DataFrame:
+    """About ``sample`` labelled ids, one row each, with ``label``; all if there are no more.
+
+    They are chosen by a hash of the id; the largest label counts where an id has several. They are
+    written, so that a join with the documents broadcasts them if, and only if, the file is small.
+    """
+    rows = labels.filter(usable & F.col(label).isin(0, 1) & F.col("doc_id").isNotNull())
+    rows = rows.groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.max(label).cast("int").alias("label"))
+    share = min(1.0, sample / max(rows.count(), 1))
+    drawn = F.pmod(F.xxhash64("doc_id", F.lit(17)), F.lit(1_000_000)) < int(share * 1_000_000)
+    return land(rows.filter(drawn), "labels")
+
+
+def judged(scored: DataFrame, parts: int, remainder: int, threshold: float) -> DataFrame:
+    """doc_id, held_out, score and predicted of scored rows."""
+    key = F.col("doc_id")
+    return scored.select(
+        key,
+        F.coalesce(held_out_remainder(key, parts) == remainder, F.lit(False)).alias("held_out"),
+        "score",
+        (F.col("score") >= threshold).cast("int").alias("predicted"),
+    )
+
+
+def held_out_remainder(key: Column, parts: int) -> Column:
     """crc32 of an id as text, modulo ``parts``."""
     return F.crc32(key.cast("string").cast("binary")) % parts
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hazardmart.llm import bpe_codec, mixing, near_dedup, neighbours, token_counts, topk, url_filter
+from hazardmart.llm import bpe_codec, mixing, near_dedup, neighbours, quality, token_counts, topk, toxicity, url_filter
 from hazardmart.llm.common import read
 
 RULES = url_filter.Rules(
@@ -28,6 +28,14 @@ def op3_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicates(read(spark, sf_dir, "documents"))
 
 
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.score_toxicity(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
+def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.score_quality(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
 def op7_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_codec.round_trip_digests(read(spark, sf_dir, "documents"))
 
@@ -51,6 +59,8 @@ QUERIES = {
         op1_token_counts,
         op2_nearest_neighbours,
         op3_near_duplicates,
+        op5_toxicity,
+        op6_quality,
         op7_bpe_codec,
         op8_source_mix,
         op9_exact_top_k,

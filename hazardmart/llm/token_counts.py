@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from hazardmart.llm.byte_bpe import CONTRACTIONS, ByteBpe, default_tokenizer, load
-from hazardmart.llm.common import BoundedCache, slices, texts
+from hazardmart.llm.common import BoundedCache, extended, slices, texts
 
 # The last space of such a run belongs to the next piece, but not while the prefix ends in the run.
 SPLIT_RUNS = re.compile(r"\s{2,}(?=\S)")
@@ -116,19 +116,17 @@ def within_budget(tables: DataFrame, budget: int, name: str = "prefix_chars") ->
 
     Reads the stored tables only; every prefix of an empty text fits any budget, at length 0.
     """
-    kept = [field for field in tables.schema.fields if field.name != name]
-    schema = tables.select(*[field.name for field in kept]).schema.add(name, "long")
+    kept = tables.drop(name)
+    names, schema = kept.columns, extended(kept, **{name: "long"})
 
     def answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
             stored = batch.column("prefix_changes").to_pylist()
             fits = [longest_prefix(np.frombuffer(table or b"", np.int8), budget) for table in stored]
-            columns = [batch.column(field.name) for field in kept]
-            yield pa.RecordBatch.from_arrays(
-                [*columns, pa.array(fits, pa.int64())], names=[*(field.name for field in kept), name]
-            )
+            columns = [*batch.columns, pa.array(fits, pa.int64())]
+            yield pa.RecordBatch.from_arrays(columns, names=[*names, name])
 
-    return tables.select(*[field.name for field in kept]).mapInArrow(answer, schema)
+    return kept.mapInArrow(answer, schema)
 
 
 def count_tokens(docs: DataFrame, limit: int = 512, tokenizer: str = "") -> DataFrame:
