@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hazardmart.llm import bpe_codec, mixing, near_dedup, neighbours, quality, token_counts, topk, toxicity, url_filter
+from hazardmart.llm import bpe_codec, mixing, near_dedup, neighbours, page_template, quality, token_counts, topk, toxicity, url_filter
 from hazardmart.llm.common import read
 
 RULES = url_filter.Rules(
@@ -28,6 +28,10 @@ def op3_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicates(read(spark, sf_dir, "documents"))
 
 
+def op4_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return page_template.main_text(read(spark, sf_dir, "pages"))
+
+
 def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score_toxicity(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
 
@@ -59,6 +63,7 @@ QUERIES = {
         op1_token_counts,
         op2_nearest_neighbours,
         op3_near_duplicates,
+        op4_main_text,
         op5_toxicity,
         op6_quality,
         op7_bpe_codec,
