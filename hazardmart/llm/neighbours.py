@@ -22,6 +22,8 @@ from hazardmart.sources.landed import land
 
 # Rows of one posting list, and queries of one list, that a task compares at a time.
 LIST_ROWS, LIST_QUERIES = 8192, 2048
+# Rows that walk over the graph at the same time.
+ROWS_AT_ONCE = 512
 
 
 @dataclass(frozen=True)
@@ -160,7 +162,8 @@ class CentroidGraph:
 
     def calibrate(self, sample: np.ndarray, k: int, options: IndexOptions) -> None:
         """The distance ratio at which the probed lists hold enough of the sampled neighbours."""
-        lists = self.posting_lists(sample, options)
+        strips = (sample[start : start + ROWS_AT_ONCE] for start in range(0, len(sample), ROWS_AT_ONCE))
+        lists = [own for strip in strips for own in self.posting_lists(strip, options)]
         held = np.full((len(sample), options.replicas), -1)
         for row, own in zip(held, lists, strict=True):
             row[: len(own)] = own
@@ -194,8 +197,8 @@ def _assigned(rows: DataFrame, graph: CentroidGraph, options: IndexOptions, prob
         graph = shared.value
         pick = graph.probed_lists if probing else graph.posting_lists
         for whole in batches:
-            for start in range(0, whole.num_rows, 512):
-                batch = whole.slice(start, 512)
+            for start in range(0, whole.num_rows, ROWS_AT_ONCE):
+                batch = whole.slice(start, ROWS_AT_ONCE)
                 vectors = batch.column("vec")
                 rows = np.stack(vectors.to_numpy(zero_copy_only=False)).astype(np.float64)
                 lists = pick(rows, options)
