@@ -33,7 +33,9 @@ class DedupOptions:
     ``bands`` of ``band_size`` MinHash values each: a pair at exactly 0.75 shares no band with a
     probability of 2e-6. ``sketch_bits``: size of the odd sketch; candidates are dropped unconfirmed
     only when it differs in more than ``most_differing`` bits, six standard deviations beyond what
-    pairs at the threshold have. ``block``: members of a bucket that one task compares at a time.
+    pairs at the threshold have. ``rounds``: of linking components before all candidates left are
+    compared. ``block``: members of a bucket that one task compares at a time. ``filter_bits``: of
+    the bitmap that says which documents' sets are needed; a full one only costs time.
     """
 
     percent: int = 75
@@ -42,7 +44,9 @@ class DedupOptions:
     band_size: int = 5
     sketch_bits: int = 1024
     most_differing: int = 180
+    rounds: int = 3
     block: int = 2048
+    filter_bits: int = 1 << 24
     seed: int = 5
 
 
@@ -133,17 +137,43 @@ def _sketched(pairs: DataFrame, classes: DataFrame, options: DedupOptions) -> Da
     return pairs.filter(differing <= options.most_differing).select("a", "b")
 
 
+def _id_places(ids: pa.Array, bits: int) -> np.ndarray:
+    mixed = ids.fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    return (mixed ^ mixed >> np.uint64(32)) % np.uint64(bits)
+
+
+def _id_filter(ids: DataFrame, bits: int) -> np.ndarray:
+    """A bitmap of fixed size with the bit of every id set, put together from a few tasks' bitmaps."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        marked = np.zeros(bits, bool)
+        for batch in batches:
+            marked[_id_places(batch.column(0), bits)] = True
+        yield pa.RecordBatch.from_pydict({"bits": pa.array([np.packbits(marked).tobytes()], pa.binary())})
+
+    parts = ids.repartition(4).mapInArrow(run, "bits binary").toLocalIterator()
+    return reduce(np.bitwise_or, (np.frombuffer(row["bits"], np.uint8) for row in parts), np.zeros(bits // 8, np.uint8))
+
+
 def _confirmed(pairs: DataFrame, docs: DataFrame, options: DedupOptions) -> DataFrame:
-    """The pairs (a, b) whose full sets reach the threshold."""
-    named = pairs.select("a").union(pairs.select("b")).distinct().withColumnRenamed("a", "doc_id")
+    """The pairs (a, b) whose full sets reach the threshold.
+
+    The sets are made again from the texts, of those documents alone that a bitmap of the pairs' ids
+    lets through, so that no text is shuffled.
+    """
+    marked = _id_filter(pairs.select("a").union(pairs.select("b")), options.filter_bits)
+    shared = docs.sparkSession.sparkContext.broadcast(marked)
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches):
-            found = [shingles(text, options.words).tobytes() for text in texts(batch)]
-            yield pa.RecordBatch.from_pydict({"doc": batch.column("doc_id"), "shingles": pa.array(found, pa.binary())})
+        bits = np.unpackbits(shared.value).astype(bool)
+        for batch in batches:
+            needed = bits[_id_places(batch.column("doc_id"), options.filter_bits)] & batch.column("doc_id").is_valid().to_numpy(False)
+            for part in slices([batch.filter(pa.array(needed))]):
+                found = [shingles(text, options.words).tobytes() for text in texts(part)]
+                yield pa.RecordBatch.from_pydict({"doc": part.column("doc_id"), "shingles": pa.array(found, pa.binary())})
 
     rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    full = land(rows.join(named, "doc_id", "left_semi").mapInArrow(sets, "doc long, shingles binary"), "shingles")
+    full = land(rows.mapInArrow(sets, "doc long, shingles binary"), "shingles")
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
@@ -161,22 +191,37 @@ def _confirmed(pairs: DataFrame, docs: DataFrame, options: DedupOptions) -> Data
     return land(both.mapInArrow(compare, "a long, b long"), "near")
 
 
-def _nearest_leaders(crowded: DataFrame) -> DataFrame:
-    """Every member of a bucket with one leader: that of most of its buckets, the smallest of equals."""
-    led = crowded.filter("doc > leader").groupBy("doc", "leader").agg(F.count("*").alias("n"))
-    best = led.groupBy("doc").agg(F.max(F.struct(F.col("n"), (-F.col("leader")).alias("leader"))).alias("best"))
-    return best.select(F.col("doc").alias("a"), (-F.col("best.leader")).alias("b"))
+def _labelled(crowded: DataFrame, found: DataFrame | None) -> DataFrame:
+    """The bucket rows (key, doc) with the component that the links found so far give."""
+    rows = crowded.select("key", "doc")
+    if found is None:
+        return rows.withColumn("component", F.col("doc"))
+    named = found.select(F.col("node").alias("doc"), "component")
+    return rows.join(named, "doc", "left").select("key", "doc", F.coalesce("component", "doc").alias("component"))
+
 
+def _joining_pairs(labelled: DataFrame, tried: DataFrame | None) -> DataFrame:
+    """For every component one pair that may join it to a smaller one, not tried before.
+
+    In each bucket the members of other components meet the first member of the smallest one. Of
+    all pairs of a component the one that shares most buckets is taken.
+    """
+    pivots = labelled.groupBy("key").agg(F.min(F.struct("component", "doc")).alias("pivot"), F.max("component").alias("last"))
+    pivots = pivots.filter("pivot.component < last").select("key", "pivot")
+    met = labelled.join(pivots, "key").filter(F.col("component") > F.col("pivot.component"))
+    counted = met.groupBy("component", F.col("doc").alias("a"), F.col("pivot.doc").alias("b")).agg(F.count("*").alias("n"))
+    if tried is not None:
+        counted = counted.join(tried, ["a", "b"], "left_anti")
+    best = counted.groupBy("component").agg(F.max(F.struct(F.col("n"), (-F.col("b")).alias("b"), F.col("a"))).alias("best"))
+    return best.select(F.col("best.a").alias("a"), (-F.col("best.b")).alias("b"))
 
-def _across(crowded: DataFrame, found: DataFrame, classes: DataFrame, options: DedupOptions) -> DataFrame:
+
+def _across(labelled: DataFrame, classes: DataFrame, options: DedupOptions) -> DataFrame:
     """Candidate pairs of a bucket that no links connect so far, by their odd sketches.
 
     Buckets whose members are all connected give none. Large buckets are cut into blocks, and each
     pair of blocks is compared on its own. Only pairs that pass the sketch leave the join.
     """
-    named = found.select(F.col("node").alias("doc"), "component")
-    labelled = crowded.select("key", "doc").join(named, "doc", "left")
-    labelled = labelled.select("key", "doc", F.coalesce("component", "doc").alias("component"))
     mixed = labelled.groupBy("key").agg(
         F.min("component").alias("first"), F.max("component").alias("last"), F.count("*").alias("n")
     )
@@ -204,6 +249,13 @@ def _across(crowded: DataFrame, found: DataFrame, classes: DataFrame, options: D
     return near.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
 
 
+def _linked(found: DataFrame | None, links: DataFrame) -> DataFrame:
+    """Components of the links found so far and of further ones."""
+    if found is not None:
+        links = found.select("node", "component").union(links)
+    return land(components(links), "components")
+
+
 def near_duplicates(docs: DataFrame, options: DedupOptions = DedupOptions()) -> DataFrame:
     """Per row: doc_id, n_shingles, component_id and kept (whether it is the component's smallest id).
 
@@ -221,13 +273,20 @@ def near_duplicates(docs: DataFrame, options: DedupOptions = DedupOptions()) ->
     leaders = buckets.groupBy("key").agg(F.min("doc").alias("leader"), F.max("doc").alias("last"))
     crowded = land(buckets.join(leaders.filter("leader < last").select("key", "leader"), "key"), "crowded")
 
-    led = land(_sketched(_nearest_leaders(crowded), classes, options), "pairs")
-    links = _confirmed(led, docs, options)
-    found = land(components(links), "components")
-    rest = land(_across(crowded, found, classes, options), "pairs")
+    found = tried = None
+    for _ in range(options.rounds):
+        pairs = land(_joining_pairs(_labelled(crowded, found), tried), "pairs")
+        if not pairs.take(1):
+            break
+        tried = pairs if tried is None else tried.union(pairs)
+        found = _linked(found, _confirmed(_sketched(pairs, classes, options), docs, options))
+    rest = land(_across(_labelled(crowded, found), classes, options), "pairs")
+    if tried is not None:
+        rest = rest.join(tried, ["a", "b"], "left_anti")
     if rest.take(1):
-        links = found.select("node", "component").union(_confirmed(rest, docs, options))
-        found = land(components(links), "components")
+        found = _linked(found, _confirmed(rest, docs, options))
+    if found is None:
+        found = _linked(None, rest)
 
     named = classes.select("print", "doc").join(found.withColumnRenamed("node", "doc"), "doc", "left")
     named = named.select("print", F.coalesce("component", "doc").alias("component"))
