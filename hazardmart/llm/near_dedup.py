@@ -8,6 +8,7 @@ differ, and candidates far below the threshold go. The rest are confirmed on the
 
 from __future__ import annotations
 
+import operator
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -31,9 +32,10 @@ class DedupOptions:
     """``percent``: least Jaccard similarity of a link; ``words``: words of a shingle.
 
     ``bands`` of ``band_size`` MinHash values each: a pair at exactly 0.75 shares no band with a
-    probability of 2e-6. ``sketch_bits``: size of the odd sketch; candidates are dropped unconfirmed
+    probability of 2e-6. ``sketch_bits`` and ``set_bits``: sizes of the odd
+    sketches of the samples and of the set; candidates are dropped unconfirmed
     only when it differs in more than ``most_differing`` bits, six standard deviations beyond what
-    pairs at the threshold have. ``rounds``: of linking components before all candidates left are
+    pairs at the threshold have, or when the sets' sketches do so by as much. ``rounds``: of linking components before all candidates left are
     compared. ``block``: members of a bucket that one task compares at a time. ``filter_bits``: of
     the bitmap that says which documents' sets are needed; a full one only costs time.
     """
@@ -43,6 +45,7 @@ class DedupOptions:
     bands: int = 48
     band_size: int = 5
     sketch_bits: int = 1024
+    set_bits: int = 2048
     most_differing: int = 180
     rounds: int = 3
     block: int = 2048
@@ -86,7 +89,11 @@ class Signer:
         return least
 
     def sign(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Band keys and odd sketch, both as signed 64-bit integers."""
+        """Band keys and odd sketches, both as signed 64-bit integers.
+
+        The first sketch is of the samples, whatever the set's size. The second is of the shingles
+        themselves and counts the differing ones almost exactly while they are few.
+        """
         samples = self.samples(hashes).astype(np.uint64)
         keys = self.band_seeds.copy()
         for column in samples.reshape(self.options.bands, self.options.band_size).T:
@@ -94,8 +101,12 @@ class Signer:
             keys ^= keys >> np.uint64(29)
         mixed = (samples ^ self.places) * np.uint64(0xC4CEB9FE1A85EC53)
         mixed ^= mixed >> np.uint64(32)
-        bits = np.bincount((mixed % np.uint64(self.options.sketch_bits)).astype(np.int64), minlength=self.options.sketch_bits) & 1
-        return keys.view(np.int64), np.packbits(bits.astype(np.uint8)).view(np.int64)
+        parities = [self._parities(mixed, self.options.sketch_bits), self._parities(hashes, self.options.set_bits)]
+        return keys.view(np.int64), np.packbits(np.concatenate(parities)).view(np.int64)
+
+    @staticmethod
+    def _parities(hashes: np.ndarray, bits: int) -> np.ndarray:
+        return (np.bincount((hashes % np.uint64(bits)).astype(np.int64), minlength=bits) & 1).astype(np.uint8)
 
 
 def signatures(docs: DataFrame, options: DedupOptions) -> DataFrame:
@@ -122,19 +133,33 @@ def signatures(docs: DataFrame, options: DedupOptions) -> DataFrame:
     return rows.mapInArrow(run, "doc_id long, n_shingles long, print binary, bands array<long>, sketch array<long>")
 
 
-def differing_bits(one: Column, other: Column, longs: int) -> Column:
-    """Population count of the XOR of two sketches."""
-    counts = [F.bit_count(one[i].bitwiseXOR(other[i])) for i in range(longs)]
-    return reduce(lambda a, b: a + b, counts)
+def _may_be_near(one: list[Column], other: list[Column], n_one: Column, n_other: Column, options: DedupOptions) -> Column:
+    """Whether two sketches (as columns of 64 bits) leave it possible that the sets reach the threshold.
+
+    Sets at the threshold differ in (100 - p) / (100 + p) of their summed sizes. That many elements
+    leave odd counts in a bitmap of m bits with the mean and variance below; a margin of six
+    standard deviations and two bits is added.
+    """
+    counts = [F.bit_count(a.bitwiseXOR(b)) for a, b in zip(one, other, strict=True)]
+    longs, m = options.sketch_bits // 64, float(options.set_bits)
+    samples, elements = reduce(operator.add, counts[:longs]), reduce(operator.add, counts[longs:])
+    load = (n_one + n_other) * ((100 - options.percent) / (100 + options.percent) / m)
+    mean = m / 2 * (1 - F.exp(-2 * load))
+    variance = m / 4 * (1 - F.exp(-4 * load) * (1 + 4 * load))
+    return (samples <= options.most_differing) & (elements <= mean + 6 * F.sqrt(variance) + 2)
+
+
+def _longs(sketch: Column, options: DedupOptions) -> list[Column]:
+    return [sketch[i] for i in range((options.sketch_bits + options.set_bits) // 64)]
 
 
 def _sketched(pairs: DataFrame, classes: DataFrame, options: DedupOptions) -> DataFrame:
     """The pairs (a, b) whose odd sketches do not rule the threshold out."""
     for side in ("a", "b"):
-        own = classes.select(F.col("doc").alias(side), F.col("sketch").alias(f"sketch_{side}"))
+        own = classes.select(F.col("doc").alias(side), F.col("sketch").alias(f"sketch_{side}"), F.col("n_shingles").alias(f"n_{side}"))
         pairs = pairs.join(own, side)
-    differing = differing_bits(F.col("sketch_a"), F.col("sketch_b"), options.sketch_bits // 64)
-    return pairs.filter(differing <= options.most_differing).select("a", "b")
+    one, other = (_longs(F.col(f"sketch_{side}"), options) for side in ("a", "b"))
+    return pairs.filter(_may_be_near(one, other, F.col("n_a"), F.col("n_b"), options)).select("a", "b")
 
 
 def _id_places(ids: pa.Array, bits: int) -> np.ndarray:
@@ -227,26 +252,29 @@ def _across(labelled: DataFrame, classes: DataFrame, options: DedupOptions) -> D
     )
     blocks = F.ceil(F.col("n") / options.block).cast("long")
     mixed = mixed.filter("first < last").select("key", blocks.alias("blocks"))
-    members = labelled.join(mixed, "key").join(classes.select("doc", "sketch"), "doc")
+    known = classes.select("doc", "sketch", "bands", "n_shingles")
+    members = labelled.join(mixed, "key").join(known, "doc")
     members = land(members.withColumn("block", F.pmod(F.xxhash64("doc"), F.col("blocks"))), "mixed")
-    longs = options.sketch_bits // 64
+    longs = (options.sketch_bits + options.set_bits) // 64
 
     def side(name: str, own: str, other: str, numbers: Column) -> DataFrame:
-        parts = [F.col("sketch")[i].alias(f"{name}{i}") for i in range(longs)]
+        parts = [part.alias(f"{name}{i}") for i, part in enumerate(_longs(F.col("sketch"), options))]
         return members.select(
-            "key", F.col("block").alias(own), F.explode(numbers).alias(other), F.col("doc").alias(name),
-            F.col("component").alias(f"{name}_component"), *parts,
+            "key", F.col("block").alias(own), F.explode(numbers).alias(other), F.col("doc").alias(name), *parts,
+            *(F.col(column).alias(f"{name}_{column}") for column in ("component", "bands", "n_shingles")),
         )
 
     low = side("a", "low", "high", F.sequence(F.col("block"), F.col("blocks") - 1))
     high = side("b", "high", "low", F.sequence(F.lit(0).cast("long"), F.col("block")))
-    differing = reduce(
-        lambda x, y: x + y, [F.bit_count(F.col(f"a{i}").bitwiseXOR(F.col(f"b{i}"))) for i in range(longs)]
-    )
-    once = (F.col("low") < F.col("high")) | (F.col("a") < F.col("b"))
+    one, other = ([F.col(f"{name}{i}") for i in range(longs)] for name in ("a", "b"))
+    near = _may_be_near(one, other, F.col("a_n_shingles"), F.col("b_n_shingles"), options)
+    ordered = (F.col("low") < F.col("high")) | (F.col("a") < F.col("b"))
     across = F.col("a_component") != F.col("b_component")
-    near = low.join(high, ["key", "low", "high"]).filter(once & across & (differing <= options.most_differing))
-    return near.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
+    # A pair leaves only the bucket of its first common band.
+    common = F.filter(F.zip_with("a_bands", "b_bands", lambda x, y: F.when(x == y, x)), lambda x: x.isNotNull())
+    first = F.element_at(common, 1) == F.col("key")
+    pairs = low.join(high, ["key", "low", "high"]).filter(ordered & across & near & first)
+    return pairs.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
 
 
 def _linked(found: DataFrame | None, links: DataFrame) -> DataFrame:
@@ -267,7 +295,7 @@ def near_duplicates(docs: DataFrame, options: DedupOptions = DedupOptions()) ->
     """
     signed = land(signatures(docs, options), "signatures")
     whole = signed.filter("doc_id IS NOT NULL AND print IS NOT NULL")
-    classes = whole.groupBy("print").agg(F.min("doc_id").alias("doc"), F.first("bands").alias("bands"), F.first("sketch").alias("sketch"))
+    classes = whole.groupBy("print").agg(F.min("doc_id").alias("doc"), F.first("bands").alias("bands"), F.first("sketch").alias("sketch"), F.first("n_shingles").alias("n_shingles"))
     classes = land(classes, "classes")
     buckets = classes.select("doc", F.explode("bands").alias("key"))
     leaders = buckets.groupBy("key").agg(F.min("doc").alias("leader"), F.max("doc").alias("last"))
