@@ -60,7 +60,7 @@ def source_rates(
         if any(weight < 0 for weight in weights.values()):
             raise ValueError("weights must not be negative")
         given = spark.createDataFrame([*weights.items()], "source string, weight double")
-        weighed = sizes.join(given, "source")
+        weighed = sizes.join(given, "source", "left").fillna(0.0, "weight")
     sums = weighed.agg(F.sum("n_docs").alias("n_docs"), F.sum("weight").alias("weight")).first()
     wanted = float(sums["n_docs"] or 0 if total is None else total)
     per_weight = wanted / sums["weight"] if sums["weight"] else 0.0
