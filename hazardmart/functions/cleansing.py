@@ -49,9 +49,14 @@ def _number(text: Column, candidate: Column, kind: str | DataType) -> Column:
 
     A failed cast costs a JVM exception, so the frequent ``SD`` and ``-`` are screened out
     first. Casting to decimal, not double, keeps cents exact and refuses
-    what the floating-point parser would let through: NaN, Infinity, 1d, 0x10.
+    what the floating-point parser would let through: NaN, Infinity, 1d, 0x10. Text with an exponent
+    goes through double first, since an exact rescaling takes as long as its exponent is large.
     """
-    return F.when(text.rlike(NUMERIC), strip(candidate).try_cast(kind))
+    plain = strip(candidate)
+    number = F.when(text.rlike("[eE]"), plain.try_cast("double").try_cast(kind)).otherwise(
+        F.when(~text.rlike("[eE]"), plain).try_cast(kind)
+    )
+    return F.when(text.rlike(NUMERIC), number)
 
 
 def clean_number(text: Column) -> Column:
@@ -70,8 +75,9 @@ def coerce_number(text: Column) -> Column:
 
 
 def coerce_year(text: Column) -> Column:
-    """Year as an integer, also when spelled ``2021.0``."""
-    return coerce_number(text).try_cast("int")
+    """Year as an integer, also when spelled ``2021.0``; a fractional year is none."""
+    year = coerce_number(text)
+    return F.when(year == F.floor(year), year).try_cast("int")
 
 
 def coerce_count(text: Column) -> Column:

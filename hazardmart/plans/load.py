@@ -120,6 +120,7 @@ def run_load(
     """
     spark = staging.disasters.sparkSession
     catalogues = catalogues or Catalogues.official(spark)
+    _check_catalogues(catalogues)
     sources = [(staging.disasters, DISASTERS), (staging.emergencies, EMERGENCIES)]
     types = EVENT_TYPES
     if include_prevention:
@@ -157,6 +158,21 @@ def run_load(
     return load
 
 
+def _check_catalogues(catalogues: Catalogues) -> None:
+    """Refuse a catalogue that lists a variant twice: each event with it would be loaded twice."""
+    frames = {
+        "states": catalogues.states,
+        "phenomena": catalogues.phenomena,
+        "event types": catalogues.event_types,
+    }
+    require_zero(
+        stack(
+            duplicate_count(frame, ["variante"], f"repeated variant of {name}")
+            for name, frame in frames.items()
+        )
+    )
+
+
 def validate(load: Load) -> None:
     """Check every declared constraint; raise before anything is published."""
     tables = load.dimensions.tables()
@@ -192,7 +208,8 @@ def _write_reports(load: Load, staging: Staging) -> None:
     }
     reports = {
         "calidad": quality_metrics(sources, load.events),
-        "integridad": integrity_nulls(load.events),
+        # Over all conformed rows: the accepted ones cannot hold a null by their verdict.
+        "integridad": integrity_nulls(_read_conformed(load.fact.sparkSession, load.folder)),
         "rechazos": load.rejected.groupBy("tipo_evento", "verdict").count(),
     }
     for name, rows in reports.items():

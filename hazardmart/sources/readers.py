@@ -19,6 +19,8 @@ def read_csv(
 ) -> DataFrame:
     """UTF-8 CSV with a header, quoted commas and, by default, quoted line breaks.
 
+    The header is compared with the schema: reading fails where names differ or change places.
+
     A file whose records may span lines cannot be split, so its unit of parallelism is the
     file: deliver large data as many files, or set ``quoted_newlines=False`` where no field
     holds a line break and Spark may split each file.
@@ -26,6 +28,7 @@ def read_csv(
     return (
         spark.read.schema(schema)
         .option("header", True)
+        .option("enforceSchema", False)
         .option("multiLine", quoted_newlines)
         .option("escape", '"')
         .option("encoding", "UTF-8")

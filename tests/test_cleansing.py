@@ -115,3 +115,26 @@ def test_coerce_count(spark):
 )
 def test_title_words_equals_str_title(spark, text):
     assert clean(spark, cleansing.title_words, [text]) == [text.title()]
+
+
+def test_exponents_cost_no_more_than_plain_numbers(spark):
+    import time
+
+    from pyspark.sql import functions as F
+
+    from hazardmart.functions.cleansing import clean_money, clean_number, coerce_count, coerce_year
+
+    rows = spark.createDataFrame([("1e-100000000",), ("1e999999999",), ("1e-400",), ("1e400",), ("1.5e2",)], "t string")
+    start = time.perf_counter()
+    found = rows.select(*(f(F.col("t")).cast("string") for f in (clean_number, clean_money, coerce_count, coerce_year))).collect()
+    assert time.perf_counter() - start < 20
+    assert [row[0] for row in found] == ["0.00", None, "0.00", None, "150.00"]
+
+
+def test_fractional_year_is_no_year(spark):
+    from pyspark.sql import functions as F
+
+    from hazardmart.functions.cleansing import coerce_year
+
+    rows = spark.createDataFrame([("2025.9",), ("2021.0",), ("2021",)], "t string")
+    assert [row[0] for row in rows.select(coerce_year(F.col("t"))).collect()] == [None, 2021, 2021]

@@ -1,5 +1,6 @@
 """The command line, and the options handed to Spark's JDBC source."""
 
+import pytest
 from hazardmart.__main__ import main
 from hazardmart.plans.load import read_load
 from hazardmart.schemas import DISASTER_STAGING, EMERGENCY_STAGING, PROJECT_STAGING, text_schema
@@ -108,3 +109,26 @@ def test_jdbc_write_is_batched():
         "mode": "overwrite",
         "saved": True,
     }
+
+
+def test_csv_with_swapped_header_names_is_refused(spark, tmp_path):
+    from pyspark.errors import PySparkException
+    from pyspark.sql.types import StructType
+
+    (tmp_path / "swapped.csv").write_text("b,a\n1,2\n")
+    schema = StructType.fromDDL("a string, b string")
+    with pytest.raises(PySparkException):
+        read_csv(spark, str(tmp_path), schema, quoted_newlines=False).collect()
+
+
+def test_repeated_variant_is_refused(spark):
+    from dataclasses import replace
+
+    from hazardmart.catalogues import Catalogues
+    from hazardmart.operators.quality import DataQualityError
+    from hazardmart.plans.load import _check_catalogues
+
+    official = Catalogues.official(spark)
+    _check_catalogues(official)
+    with pytest.raises(DataQualityError):
+        _check_catalogues(replace(official, states=official.states.union(official.states.limit(1))))
