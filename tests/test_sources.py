@@ -4,7 +4,7 @@ import pytest
 from hazardmart.__main__ import main
 from hazardmart.plans.load import read_load
 from hazardmart.schemas import DISASTER_STAGING, EMERGENCY_STAGING, PROJECT_STAGING, text_schema
-from hazardmart.sources.readers import read_jdbc
+from hazardmart.sources.readers import read_csv, read_jdbc
 from hazardmart.sources.writers import write_jdbc
 
 
