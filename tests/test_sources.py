@@ -112,12 +112,13 @@ def test_jdbc_write_is_batched():
 
 
 def test_csv_with_swapped_header_names_is_refused(spark, tmp_path):
+    from py4j.protocol import Py4JJavaError
     from pyspark.errors import PySparkException
     from pyspark.sql.types import StructType
 
     (tmp_path / "swapped.csv").write_text("b,a\n1,2\n")
     schema = StructType.fromDDL("a string, b string")
-    with pytest.raises(PySparkException):
+    with pytest.raises((PySparkException, Py4JJavaError), match="swapped.csv"):
         read_csv(spark, str(tmp_path), schema, quoted_newlines=False).collect()
 
 
