@@ -184,9 +184,10 @@ def _confirmed(pairs: DataFrame, docs: DataFrame, options: DedupOptions) -> Data
     """The pairs (a, b) whose full sets reach the threshold.
 
     The sets are made again from the texts, of those documents alone that a bitmap of the pairs' ids
-    lets through, so that no text is shuffled.
+    lets through, so that no text is shuffled. The pairs are written first: they are read twice.
     """
-    marked = _id_filter(pairs.select("a").union(pairs.select("b")), options.filter_bits)
+    pairs = land(pairs, "candidates")
+    marked = _id_filter(pairs.select(F.explode(F.array("a", "b"))), options.filter_bits)
     shared = docs.sparkSession.sparkContext.broadcast(marked)
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
