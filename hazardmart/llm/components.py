@@ -24,6 +24,14 @@ def _stars(links: DataFrame) -> DataFrame:
     return below.union(least.select("node", F.col("least").alias("root"))).distinct()
 
 
+def _settled(links: DataFrame) -> bool:
+    """Whether every id has one root, which has none itself."""
+    roots = F.create_map("node", F.lit(1), "root", F.lit(0))  # root < node
+    ends = links.select(F.explode(roots).alias("id", "roots"))
+    seen = ends.groupBy("id").agg(F.sum("roots").alias("roots"), F.min("roots").alias("least"))
+    return not seen.filter("roots > 1 OR (roots = 1 AND least = 0)").take(1)
+
+
 def components(links: DataFrame) -> DataFrame:
     """``node`` and ``component`` (its smallest reachable id) of every id that a link names.
 
@@ -33,13 +41,7 @@ def components(links: DataFrame) -> DataFrame:
     one, other = (F.col(name) for name in links.columns)
     current = links.select(F.greatest(one, other).alias("node"), F.least(one, other).alias("root"))
     current = land(current.filter("root < node").distinct(), "links")
-    state = None
-    while True:
-        checksum = F.sum(F.xxhash64("node", "root").cast("decimal(38,0)"))
-        found = current.agg(F.count("*"), checksum).first()
-        if found == state or not found[0]:
-            break
-        state = found
+    while not _settled(current):
         current = land(_stars(current), "links")
     roots = current.select(F.col("root").alias("node"), F.col("root").alias("component")).distinct()
     return current.select("node", F.col("root").alias("component")).union(roots)
