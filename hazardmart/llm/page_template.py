@@ -31,9 +31,9 @@ MARKUP = re.compile(
     r"""<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*+)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*)(?:>|\Z)|([^<]+|<)""",
     re.DOTALL,
 )
-NAMED = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.IGNORECASE)
+ATTRIBUTE = re.compile(r"""([^\s"'<>/=]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""")
 TELLING = re.compile(r"class|id|role|hidden|display", re.IGNORECASE)
-HIDDEN = re.compile(r"""\bhidden(?![\w-])|display\s*:\s*none|aria-hidden\s*=\s*["']?true""", re.IGNORECASE)
+NOT_SHOWN = re.compile(r"(?:^|[;\s])display\s*:\s*none", re.IGNORECASE)
 NAME_PARTS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|\d+")
 
 RAW = frozenset("script style noscript template textarea title iframe svg math object select".split())
@@ -69,6 +69,12 @@ JUNK_NAMES = frozenset(
 CONTAINERS = frozenset("html body main article section div center table tbody tr td".split())
 # Names that say what an element is for as a whole, whatever else is in the name.
 MAIN_NAMES = frozenset("article main content post entry story body page text".split())
+# Names and tags of parts that can be longer than the main text without being it.
+COMMENT_NAMES = frozenset("comment comments reply replies respond disqus discussion".split())
+ASIDE_TAGS = frozenset("nav footer aside dialog menu".split())
+HIDDEN, ASIDE, NAMED = "hidden", "aside", "named"
+# Marked elements nested deeper than this share their ancestor's mark.
+MARKED_DEPTH = 64
 
 
 @dataclass
@@ -78,7 +84,14 @@ class Block:
     path: tuple[str, ...]
     text: str
     linked: int
-    junk: bool
+    mark: int = -1
+    in_main: bool = False
+    junk: bool = False
+
+    @property
+    def running(self) -> int:
+        """Characters that are no links."""
+        return len(self.text) - self.linked
 
 
 @dataclass
@@ -87,37 +100,115 @@ class Page:
     opened: dict[tuple[str, ...], int] = field(default_factory=lambda: defaultdict(int))
 
 
-def _is_junk(tag: str, attributes: str, inside_main: bool) -> bool:
-    """Whether an element is a menu, header, footer, sidebar, notice, advert, form or comment."""
+@dataclass
+class Marked:
+    """An element that its tag, name or attributes mark as junk.
+
+    ``outer``: the marked element around it; ``kind`` and ``names``: what marks it; ``chars``: its
+    running text; ``main_chars``: the part of it in ``article`` or ``main`` elements; ``holds_main``:
+    whether a ``main`` is among them; ``inside_main``: whether it stands in one itself.
+    """
+
+    outer: int
+    depth: int
+    kind: str
+    names: frozenset[str]
+    inside_main: bool
+    holds_main: bool = False
+    chars: int = 0
+    main_chars: int = 0
+    kept: bool = False
+
+
+def _attributes(attributes: str) -> dict[str, str]:
+    """The attributes that may tell what an element is for, by lower-case name; the first of a name counts."""
+    found: dict[str, str] = {}
+    if attributes and TELLING.search(attributes):
+        for name, *values in ATTRIBUTE.findall(attributes):
+            found.setdefault(name.lower(), "".join(values))
+    return found
+
+
+def _junk(tag: str, attributes: dict[str, str], inside_main: bool) -> tuple[str, frozenset[str]] | None:
+    """What marks an element as menu, header, footer, sidebar, notice, advert, form, comment or hidden."""
+    if tag in ("body", "html"):
+        return None
+    if "hidden" in attributes or NOT_SHOWN.search(attributes.get("style", "")) or attributes.get("aria-hidden", "").lower() == "true":
+        return HIDDEN, frozenset({"hidden"})
+    if tag in ("main", "article"):
+        return None
+    found: set[str] = set()
+    for name in ("class", "id", "role"):
+        names = {part.lower() for part in NAME_PARTS.findall(attributes.get(name, ""))}
+        found |= names & (JUNK_ROLES | {"comment", "comments"})
+        if not names & MAIN_NAMES:
+            found |= names & JUNK_NAMES
     if tag in JUNK_TAGS and not (tag == "header" and inside_main):
-        return True
-    if not attributes or not TELLING.search(attributes):
-        return False
-    if HIDDEN.search(attributes):
-        return True
-    if tag in ("body", "html", "main", "article"):
+        found.add(tag)
+    if not found:
+        return None
+    return (ASIDE if tag in ASIDE_TAGS or found & COMMENT_NAMES else NAMED), frozenset(found)
+
+
+def _keep_main(marked: list[Marked], blocks: list[Block]) -> None:
+    """Take the mark off elements that hold the page's main text; set which blocks are junk.
+
+    A marked element is no junk if it holds ``main``, or an ``article`` and more running text than is
+    left unmarked, and no unmarked ``article`` or ``main`` has text; or if it (with those marked by
+    the same names) holds most of the page's running text. Menus, footers, asides, comments and hidden
+    elements can be long, so their text alone counts only if nothing else is left; nor does that of
+    elements beside an unmarked ``article`` or ``main``. Outer elements are judged first.
+    """
+
+    def junk(mark: int) -> bool:
+        while mark >= 0:
+            if not marked[mark].kept:
+                return True
+            mark = marked[mark].outer
         return False
-    for match in NAMED.finditer(attributes):
-        value = next(group for group in match.groups() if group is not None)
-        names = {part.lower() for part in NAME_PARTS.findall(value)}
-        if names & JUNK_ROLES or (names & JUNK_NAMES and not names & MAIN_NAMES) or names & {"comment", "comments"}:
-            return True
-    return False
+
+    for block in blocks:
+        mark = block.mark
+        while mark >= 0:
+            marked[mark].chars += block.running
+            marked[mark].main_chars += block.running if block.in_main else 0
+            mark = marked[mark].outer
+    total = sum(block.running for block in blocks)
+    while True:
+        outer = [one for one in marked if not one.kept and one.chars and not junk(one.outer)]
+        clean = [block for block in blocks if not junk(block.mark)]
+        rest = sum(block.running for block in clean)
+        has_main = any(block.running for block in clean if block.in_main)
+        free = [one for one in outer if not has_main or one.inside_main]
+        held: dict[tuple[str, frozenset[str]], int] = defaultdict(int)
+        for one in free:
+            held[one.kind, one.names] += one.chars
+        keep = [one for one in outer if not has_main and one.main_chars and (one.holds_main or one.chars > rest) and
+                (one.kind != ASIDE or one.holds_main or 2 * one.chars > total)]
+        keep = keep or [one for one in free if one.kind == NAMED and 2 * held[NAMED, one.names] > total]
+        if not keep and not rest:
+            for kind in (NAMED, ASIDE, HIDDEN):
+                keep = keep or [one for one in free if one.kind == kind and (kind == NAMED or 2 * held[kind, one.names] > total)]
+        if not keep:
+            break
+        for one in keep:
+            one.kept = True
+    for block in blocks:
+        block.junk = junk(block.mark)
 
 
-def _step(tag: str, attributes: str) -> str:
+def _step(tag: str, attributes: dict[str, str]) -> str:
     """A tag with its class and id, without digits, as one step of a path."""
-    if not attributes or not TELLING.search(attributes):
-        return tag
-    named = ["".join(group for group in match.groups() if group) for match in NAMED.finditer(attributes)]
+    named = [attributes[name] for name in attributes if name in ("class", "id", "role")]
     return tag + "." + re.sub(r"\d+", "", ".".join(named)) if named else tag
 
 
 def parse(source: str) -> Page:
     """Text blocks and opened elements of a page; any string is accepted."""
     page = Page()
-    # Open elements: tag, path, junk, link.
-    stack: list[tuple[str, tuple[str, ...], bool, bool]] = [("", (), False, False)]
+    # Open elements: tag, path, innermost marked element, link, in article or main.
+    stack: list[tuple[str, tuple[str, ...], int, bool, bool]] = [("", (), -1, False, False)]
+    marked: list[Marked] = []
     parts: list[str] = []
     linked = 0
 
@@ -126,8 +217,8 @@ def parse(source: str) -> Page:
         text = " ".join(html.unescape("".join(parts)).split())
         parts.clear()
         if text:
-            _, path, junk, _ = next(entry for entry in reversed(stack) if entry[0] not in INLINE)
-            page.blocks.append(Block(path, text, min(linked, len(text)), junk))
+            _, path, mark, _, in_main = next(entry for entry in reversed(stack) if entry[0] not in INLINE)
+            page.blocks.append(Block(path, text, min(linked, len(text)), mark, in_main))
         linked = 0
 
     def close_until(tags, scope) -> None:
@@ -176,15 +267,28 @@ def parse(source: str) -> Page:
             close_block()
         if tag in VOID or attributes.endswith("/"):
             continue
-        _, path, junk, link = stack[-1]
-        inside_main = any(step.partition(".")[0] in ("article", "main") for step in path)
-        own = junk or _is_junk(tag, attributes, inside_main)
+        _, path, mark, link, in_main = stack[-1]
+        known = _attributes(attributes)
+        found = _junk(tag, known, in_main)
+        if found and (mark < 0 or marked[mark].depth < MARKED_DEPTH):
+            marked.append(Marked(mark, marked[mark].depth + 1 if mark >= 0 else 1, *found, in_main))
+            mark = len(marked) - 1
+        if tag in ("article", "main"):
+            # Comments are often articles of their own.
+            names = {part.lower() for name in ("class", "id") for part in NAME_PARTS.findall(known.get(name, ""))}
+            in_main = in_main or not names & COMMENT_NAMES
+            outer = mark
+            while tag == "main" and outer >= 0:
+                marked[outer].holds_main = True
+                outer = marked[outer].outer
         if tag not in INLINE:
             if len(path) < 64:  # deeper elements share their ancestor's path
-                path = (*path, _step(tag, attributes))
+                path = (*path, _step(tag, known))
             page.opened[path] += 1
-        stack.append((tag, path, own, link or tag == "a"))
+        stack.append((tag, path, mark, link or tag == "a", in_main))
     close_block()
+    if marked:
+        _keep_main(marked, page.blocks)
     return page
 
 
@@ -208,7 +312,7 @@ def parsed(pages: DataFrame) -> DataFrame:
                     blocks.add(path, block.text, mark, block.junk)
                     if not block.junk:
                         for depth in range(1, len(block.path) + 1):
-                            running[block.path[:depth]] += len(block.text) - block.linked
+                            running[block.path[:depth]] += block.running
                 for path, times in page.opened.items():
                     opened.add("\t".join(path), times, running[path])
                 opened.end()

@@ -74,3 +74,24 @@ def test_cascade_is_exact_over_its_universe():
     cascade = Cascade(first, listed, [key for key in others if key in first])
     assert len(cascade.levels) > 2
     assert all(key in cascade for key in listed) and not any(key in cascade for key in others)
+
+
+def test_wrappers_with_names_of_junk_keep_their_text(spark):
+    long = "<p>This is the running text of the page, which goes on for a while.</p><p>It has a second part.</p>"
+    text = "This is the running text of the page, which goes on for a while. It has a second part."
+    around = "<nav><a href=/>Home</a></nav>{}<footer>Imprint</footer>"
+    comments = "<section class=comments><article class=comment>" + "<p>A reader has a lot to say about this.</p>" * 9 + "</article></section>"
+    bodies = [
+        f"<div class='wrapper with-sidebar'><article>{long}</article><div class=sidebar>Other</div></div>",
+        f"<div class='overflow-hidden'>{long}</div>",
+        f"<article style='overflow:hidden' class=overflow-hidden>{long}</article>{comments}",
+        f"<div class=no-sidebar><div class=has-sidebar>{long}</div></div>",
+        "".join(f"<div class=elementor-widget-container>{part}</p></div>" for part in long.split("</p>")[:-1]),
+        f"<form action=/page>{long}</form>",
+        f"<main><div class=with-sidebar>{long}</div></main>{comments}",
+        f"<div hidden><p>Hidden words.</p></div><div class=text data-id=search>{long}</div>",
+        f"<div class=story>{long}</div><div class='related'><article><p>Another story.</p></article></div>",
+    ]
+    rows = [(i, f"http://host{i}.example/", f"<body class='x overflow-hidden'>{around.format(body)}</body>") for i, body in enumerate(bodies)]
+    found = {r["page_id"]: r["text"] for r in main_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert found == dict.fromkeys(range(len(rows)), text)
