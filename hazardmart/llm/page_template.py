@@ -13,9 +13,10 @@ from __future__ import annotations
 
 import html
 import re
-from collections import defaultdict
+from collections import Counter, defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from decimal import Decimal
 
 import pyarrow as pa
 import xxhash
@@ -296,20 +297,25 @@ def parsed(pages: DataFrame) -> DataFrame:
     """The pages (page_id, url, host, html) as opened elements and text blocks instead of html.
 
     ``opened`` has path, number of times and running text (characters that are no links and no
-    junk) of each element path; ``blocks`` has path, text, a hash of both, and whether it is junk.
+    junk) of each element path; ``blocks`` has path, text, a hash of both, whether it is junk, and how
+    many blocks of the page have that hash (with the first of them, else 0).
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
-            keys, opened, blocks = [], _Lists(3), _Lists(4)
+            keys, opened, blocks = [], _Lists(3), _Lists(5)
             for source in texts(batch, "html"):
                 page = parse(source)
                 keys.append(xxhash.xxh3_64_intdigest(source.encode("utf-8", "surrogatepass")) >> 1)
                 running: dict[tuple[str, ...], int] = defaultdict(int)
-                for block in page.blocks:
-                    path = "\t".join(block.path)
-                    mark = xxhash.xxh3_64_intdigest(f"{path}\n{block.text}".encode("utf-8", "surrogatepass")) >> 1
-                    blocks.add(path, block.text, mark, block.junk)
+                paths = ["\t".join(block.path) for block in page.blocks]
+                marks = [
+                    xxhash.xxh3_64_intdigest(f"{path}\n{block.text}".encode("utf-8", "surrogatepass")) >> 1
+                    for path, block in zip(paths, page.blocks, strict=True)
+                ]
+                times = Counter(marks)
+                for path, mark, block in zip(paths, marks, page.blocks, strict=True):
+                    blocks.add(path, block.text, mark, block.junk, times.pop(mark, 0))
                     if not block.junk:
                         for depth in range(1, len(block.path) + 1):
                             running[block.path[:depth]] += block.running
@@ -322,7 +328,7 @@ def parsed(pages: DataFrame) -> DataFrame:
                     *(batch.column(name) for name in ("page_id", "url", "host")),
                     pa.array(keys, pa.int64()),
                     opened.array({"path": pa.string(), "times": pa.int64(), "chars": pa.int64()}),
-                    blocks.array({"path": pa.string(), "text": pa.string(), "mark": pa.int64(), "junk": pa.bool_()}),
+                    blocks.array({"path": pa.string(), "text": pa.string(), "mark": pa.int64(), "junk": pa.bool_(), "times": pa.int32()}),
                 ],
                 names=["page_id", "url", "host", "page_key", "opened", "blocks"],
             )
@@ -332,7 +338,7 @@ def parsed(pages: DataFrame) -> DataFrame:
         run,
         f"page_id {kind}, url string, host string, page_key long, "
         "opened array<struct<path: string, times: long, chars: long>>, "
-        "blocks array<struct<path: string, text: string, mark: long, junk: boolean>>",
+        "blocks array<struct<path: string, text: string, mark: long, junk: boolean, times: int>>",
     )
 
 
@@ -367,7 +373,7 @@ class TemplateOptions:
     share: float = 0.7
 
 
-def _vector(*parts: str) -> Column:
+def _vector(*parts: str | Column) -> Column:
     """Sum of hashes of page and count over the pages of a token.
 
     Equal occurrence vectors have equal sums, in whatever order and on whatever machine pages are
@@ -379,52 +385,110 @@ def _vector(*parts: str) -> Column:
 def templates(pages: DataFrame, options: TemplateOptions = TemplateOptions()) -> DataFrame:
     """Per host of parsed pages: its main path, and the constant text blocks of its template.
 
-    A valid class's tokens occur once on each page that has them, and on most pages. Constant are
-    text blocks in the class of the page itself: they stand once on every page of the host. As many
-    tokens as are on half of the pages fit one page twice, which bounds a host's template however
-    many pages it has.
+    Element and text tokens of a host with equal vectors form a class. Valid tokens occur once on each
+    page that has them, and on most pages. As many tokens as are on half of the pages fit one page
+    twice, which bounds a host's template however many pages it has.
     """
-    totals = pages.groupBy("host").agg(F.count("*").alias("all_pages"), _vector("page_key").alias("root"))
+    root = _vector("page_key", F.lit(1).cast("long"))
+    totals = pages.groupBy("host").agg(F.count("*").alias("all_pages"), root.alias("root"))
     opened = pages.select("host", "page_key", F.explode("opened").alias("e")).select("host", "page_key", "e.*")
-    elements = opened.groupBy("host", "path").agg(
-        F.count("*").alias("pages"), F.sum("times").alias("times"), F.sum("chars").alias("chars"),
-        _vector("page_key", "times").alias("vector"),
-    )
+    counted = F.count("*").alias("pages"), F.sum("times").alias("times"), _vector("page_key", "times").alias("vector")
+    elements = opened.groupBy("host", "path").agg(*counted, F.sum("chars").alias("chars"))
+    blocks = pages.select("host", "page_key", F.explode("blocks").alias("b")).filter("NOT b.junk AND b.times > 0")
+    marks = blocks.select("host", "page_key", "b.mark", F.xxhash64("b.path").alias("place"), F.col("b.times").cast("long").alias("times"))
+    marks = marks.groupBy("host", "mark").agg(*counted, F.min("place").alias("place"))
     valid = (F.col("pages") == F.col("times")) & (F.col("pages") >= options.support * F.col("all_pages"))
-    classes = elements.join(totals, "host").filter(valid)
-    # Classes of a single token stay: an element is a start and an end tag.
-    nested = classes.groupBy("host").agg(F.sort_array(F.collect_list(F.struct("path", "chars", "vector"))).alias("elements"))
-    share = options.share
+    # Only the template's texts are given their path, which all others would carry through the shuffle.
+    paths = elements.select("host", "path", F.xxhash64("path").alias("place"))
+    texts_of = marks.join(totals, "host").filter(valid).join(paths, ["host", "place"], "left").drop("place")
+    texts_of = texts_of.withColumn("path", F.coalesce("path", F.lit(""))).withColumn("chars", F.lit(0).cast("long"))
+    tokens = elements.withColumn("mark", F.lit(None).cast("long")).join(totals, "host").filter(valid).unionByName(texts_of)
+    token = F.struct("path", "mark", "pages", "chars", "vector")
+    hosts = tokens.groupBy("host").agg(
+        F.first("all_pages").alias("all_pages"), F.first("root").alias("root"), F.sort_array(F.collect_list(token)).alias("tokens")
+    )
 
-    def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
-            rows = batch.column("elements").to_pylist()
-            mains = pa.array([main_path({e["path"]: e["chars"] for e in row}, share) for row in rows], pa.string())
-            yield pa.RecordBatch.from_arrays([batch.column("host"), mains], names=["host", "main"])
+            rows = batch.to_pylist()
+            found = [deduce(row["tokens"], row["all_pages"], row["root"], options) for row in rows]
+            mains, constants = pa.array([main for main, _ in found], pa.string()), [marks for _, marks in found]
+            arrays = [batch.column("host"), mains, pa.array(constants, pa.list_(pa.int64()))]
+            yield pa.RecordBatch.from_arrays(arrays, names=["host", "main", "constants"])
+
+    return hosts.mapInArrow(run, "host string, main string, constants array<bigint>")
 
-    mains = nested.select("host", "elements").mapInArrow(walk, "host string, main string")
-    blocks = pages.select("host", "page_key", F.explode("blocks").alias("b")).filter("NOT b.junk")
-    blocks = blocks.groupBy("host", F.col("b.mark").alias("mark")).agg(F.count("*").alias("times"), _vector("page_key").alias("vector"))
-    constant = blocks.join(totals.filter(F.col("all_pages") >= options.constant_pages), "host")
-    constant = constant.filter((F.col("times") == F.col("all_pages")) & (F.col("vector") == F.col("root")))
-    constants = constant.groupBy("host").agg(F.sort_array(F.collect_list("mark")).alias("constants"))
-    return mains.join(constants, "host", "left")
 
+@dataclass
+class Slot:
+    """What an element of the template encloses: the tokens of its class there, and nested classes' elements.
+
+    Between the start of the element, its constant texts, the nested elements and its end lies the
+    content of the pages.
+    """
 
-def main_path(chars: dict[str, int], share: float) -> str:
-    """The deepest container on the way along which most of the running text lies.
+    pages: int
+    vector: Decimal
+    chars: int = 0
+    texts: list[int] = field(default_factory=list)
+    nested: list[str] = field(default_factory=list)
+
+
+def nested_classes(tokens: list[dict], all_pages: int, root) -> dict[str, Slot]:
+    """The slots of a host's template by the path of their element; "" is the page itself.
+
+    Equivalence classes are told apart by vector. A class is nested in another where the element
+    nearest around its own is one of that class; a text belongs to the template where an element
+    around it is of its class, so that they come and go together.
+    """
+    slots = {"": Slot(all_pages, root)}
+    for token in tokens:
+        if token["mark"] is None:
+            slots[token["path"]] = Slot(token["pages"], token["vector"], token["chars"])
+    for path in sorted(slots):
+        if path:
+            slots[_enclosing(path.rpartition("\t")[0], slots)].nested.append(path)
+    for token in tokens:
+        if token["mark"] is not None:
+            path = _enclosing(token["path"], slots)
+            while path and slots[path].vector != token["vector"]:
+                path = _enclosing(path.rpartition("\t")[0], slots)
+            if slots[path].vector == token["vector"]:
+                slots[path].texts.append(token["mark"])
+    return slots
+
+
+def _enclosing(path: str, slots: dict[str, Slot]) -> str:
+    while path not in slots:
+        path = path.rpartition("\t")[0]
+    return path
+
+
+def deduce(tokens: list[dict], all_pages: int, root, options: TemplateOptions) -> tuple[str, list[int]]:
+    """Main path and constant texts of a host from its valid tokens."""
+    slots = nested_classes(tokens, all_pages, root)
+    constants = [mark for slot in slots.values() if slot.pages >= options.constant_pages for mark in slot.texts]
+    return main_path(slots, options.share), sorted(constants)
+
+
+def main_path(slots: dict[str, Slot], share: float) -> str:
+    """The deepest container's slot on the way along which most of the running text lies.
 
     The way ends at an ``article`` or ``main`` element, whose parts belong together.
     """
     main, held = "", 0
-    containers = [path for path in chars if _tag(path) in CONTAINERS]
     while _tag(main) not in ("article", "main"):
-        inside = [path for path in containers if path.startswith(main + "\t" if main else "") and path != main]
-        nearest = [path for path in inside if not any(path.startswith(other + "\t") for other in inside)]
-        best = max(nearest, key=lambda path: (chars[path], path), default=None)
-        if best is None or not chars[best] or chars[best] < share * held:
+        nearest, waiting = [], [*slots[main].nested]
+        while waiting:  # elements that are no containers are looked through
+            path = waiting.pop()
+            if _tag(path) in CONTAINERS:
+                nearest.append(path)
+            else:
+                waiting += slots[path].nested
+        best = max(nearest, key=lambda path: (slots[path].chars, path), default=None)
+        if best is None or not slots[best].chars or slots[best].chars < share * held:
             break
-        main, held = best, chars[best]
+        main, held = best, slots[best].chars
     return main
 
 

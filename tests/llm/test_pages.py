@@ -95,3 +95,13 @@ def test_wrappers_with_names_of_junk_keep_their_text(spark):
     rows = [(i, f"http://host{i}.example/", f"<body class='x overflow-hidden'>{around.format(body)}</body>") for i, body in enumerate(bodies)]
     found = {r["page_id"]: r["text"] for r in main_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
     assert found == dict.fromkeys(range(len(rows)), text)
+
+
+def test_text_of_an_optional_part_of_the_template_goes(spark):
+    part = "<div class=extra><p>This story has links to shops, for which we are paid.</p><p>Prices may change.</p></div>"
+    rows = []
+    for i in range(30):
+        paragraphs = "".join(f"<p>Words number {n} that only story {i} has.</p>" for n in range(4))
+        rows.append((i, f"http://a.example/{i}", f"<body><div id=content>{part if i % 3 else ''}{paragraphs}</div></body>"))
+    found = {r["page_id"]: r["text"] for r in main_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert found == {i: " ".join(f"Words number {n} that only story {i} has." for n in range(4)) for i in range(30)}
