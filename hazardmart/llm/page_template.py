@@ -363,12 +363,16 @@ class _Lists:
 
 @dataclass(frozen=True)
 class TemplateOptions:
-    """``support``: least share of a host's pages that a template element is on; ``constant_pages``:
+    """``support``: least share of a host's pages that a template element is on; ``repeated``: largest
+    share of a token's pages (but at least one page) that may have it more than once;
+    ``same``: least share of an element's pages that a text of its class is on; ``constant_pages``:
     least pages of a host on which constant text can be told from content; ``share``: of the running
     text that an element must hold to be walked into.
     """
 
     support: float = 0.5
+    repeated: float = 0.05
+    same: float = 0.9
     constant_pages: int = 10
     share: float = 0.7
 
@@ -385,33 +389,36 @@ def _vector(*parts: str | Column) -> Column:
 def templates(pages: DataFrame, options: TemplateOptions = TemplateOptions()) -> DataFrame:
     """Per host of parsed pages: its main path, and the constant text blocks of its template.
 
-    Element and text tokens of a host with equal vectors form a class. Valid tokens occur once on each
-    page that has them, and on most pages. As many tokens as are on half of the pages fit one page
-    twice, which bounds a host's template however many pages it has.
+    Pages without any text do not count. Valid tokens are on most pages, and on nearly all of those
+    once. As many tokens as are on half of the pages fit one page twice, which bounds a host's
+    template however many pages it has.
     """
-    root = _vector("page_key", F.lit(1).cast("long"))
-    totals = pages.groupBy("host").agg(F.count("*").alias("all_pages"), root.alias("root"))
+    pages = pages.filter(F.size("blocks") > 0)
+    totals = pages.groupBy("host").agg(F.count("*").alias("all_pages"))
     opened = pages.select("host", "page_key", F.explode("opened").alias("e")).select("host", "page_key", "e.*")
-    counted = F.count("*").alias("pages"), F.sum("times").alias("times"), _vector("page_key", "times").alias("vector")
+    counted = F.count("*").alias("pages"), F.count_if(F.col("times") == 1).alias("once"), _vector("page_key", "times").alias("vector")
     elements = opened.groupBy("host", "path").agg(*counted, F.sum("chars").alias("chars"))
     blocks = pages.select("host", "page_key", F.explode("blocks").alias("b")).filter("NOT b.junk AND b.times > 0")
     marks = blocks.select("host", "page_key", "b.mark", F.xxhash64("b.path").alias("place"), F.col("b.times").cast("long").alias("times"))
     marks = marks.groupBy("host", "mark").agg(*counted, F.min("place").alias("place"))
-    valid = (F.col("pages") == F.col("times")) & (F.col("pages") >= options.support * F.col("all_pages"))
+    more = F.col("pages") - F.col("once")
+    once = (more <= F.greatest(F.lit(1), options.repeated * F.col("pages"))) & (2 * more <= F.col("pages"))
+    valid = once & (F.col("pages") >= options.support * F.col("all_pages"))
+    valid_text = once & (F.col("pages") >= options.same * options.support * F.col("all_pages"))
     # Only the template's texts are given their path, which all others would carry through the shuffle.
     paths = elements.select("host", "path", F.xxhash64("path").alias("place"))
-    texts_of = marks.join(totals, "host").filter(valid).join(paths, ["host", "place"], "left").drop("place")
+    texts_of = marks.join(totals, "host").filter(valid_text).join(paths, ["host", "place"], "left").drop("place")
     texts_of = texts_of.withColumn("path", F.coalesce("path", F.lit(""))).withColumn("chars", F.lit(0).cast("long"))
     tokens = elements.withColumn("mark", F.lit(None).cast("long")).join(totals, "host").filter(valid).unionByName(texts_of)
     token = F.struct("path", "mark", "pages", "chars", "vector")
     hosts = tokens.groupBy("host").agg(
-        F.first("all_pages").alias("all_pages"), F.first("root").alias("root"), F.sort_array(F.collect_list(token)).alias("tokens")
+        F.first("all_pages").alias("all_pages"), F.sort_array(F.collect_list(token)).alias("tokens")
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
             rows = batch.to_pylist()
-            found = [deduce(row["tokens"], row["all_pages"], row["root"], options) for row in rows]
+            found = [deduce(row["tokens"], row["all_pages"], options) for row in rows]
             mains, constants = pa.array([main for main, _ in found], pa.string()), [marks for _, marks in found]
             arrays = [batch.column("host"), mains, pa.array(constants, pa.list_(pa.int64()))]
             yield pa.RecordBatch.from_arrays(arrays, names=["host", "main", "constants"])
@@ -428,20 +435,21 @@ class Slot:
     """
 
     pages: int
-    vector: Decimal
+    vector: Decimal | None
     chars: int = 0
-    texts: list[int] = field(default_factory=list)
+    texts: list[tuple[int, int]] = field(default_factory=list)
     nested: list[str] = field(default_factory=list)
 
 
-def nested_classes(tokens: list[dict], all_pages: int, root) -> dict[str, Slot]:
+def nested_classes(tokens: list[dict], all_pages: int, same: float) -> dict[str, Slot]:
     """The slots of a host's template by the path of their element; "" is the page itself.
 
-    Equivalence classes are told apart by vector. A class is nested in another where the element
-    nearest around its own is one of that class; a text belongs to the template where an element
-    around it is of its class, so that they come and go together.
+    Equivalence classes are told apart by vector, and nested where the element nearest around a class
+    is of another. A text belongs to the template if it comes and goes with an element: if one of its
+    class stands in the same slot, or if it is on nearly all pages of the element around it. (It
+    can be on no others, so that the vectors differ in the odd page only.)
     """
-    slots = {"": Slot(all_pages, root)}
+    slots = {"": Slot(all_pages, None)}
     for token in tokens:
         if token["mark"] is None:
             slots[token["path"]] = Slot(token["pages"], token["vector"], token["chars"])
@@ -451,10 +459,9 @@ def nested_classes(tokens: list[dict], all_pages: int, root) -> dict[str, Slot]:
     for token in tokens:
         if token["mark"] is not None:
             path = _enclosing(token["path"], slots)
-            while path and slots[path].vector != token["vector"]:
-                path = _enclosing(path.rpartition("\t")[0], slots)
-            if slots[path].vector == token["vector"]:
-                slots[path].texts.append(token["mark"])
+            beside = any(slots[other].vector == token["vector"] for other in slots[path].nested)
+            if beside or token["pages"] >= same * slots[path].pages:
+                slots[path].texts.append((token["mark"], token["pages"]))
     return slots
 
 
@@ -464,10 +471,10 @@ def _enclosing(path: str, slots: dict[str, Slot]) -> str:
     return path
 
 
-def deduce(tokens: list[dict], all_pages: int, root, options: TemplateOptions) -> tuple[str, list[int]]:
+def deduce(tokens: list[dict], all_pages: int, options: TemplateOptions) -> tuple[str, list[int]]:
     """Main path and constant texts of a host from its valid tokens."""
-    slots = nested_classes(tokens, all_pages, root)
-    constants = [mark for slot in slots.values() if slot.pages >= options.constant_pages for mark in slot.texts]
+    slots = nested_classes(tokens, all_pages, options.same)
+    constants = [mark for slot in slots.values() for mark, pages in slot.texts if pages >= options.constant_pages]
     return main_path(slots, options.share), sorted(constants)
 
 

@@ -105,3 +105,27 @@ def test_text_of_an_optional_part_of_the_template_goes(spark):
         rows.append((i, f"http://a.example/{i}", f"<body><div id=content>{part if i % 3 else ''}{paragraphs}</div></body>"))
     found = {r["page_id"]: r["text"] for r in main_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
     assert found == {i: " ".join(f"Words number {n} that only story {i} has." for n in range(4)) for i in range(30)}
+
+
+def test_odd_pages_leave_the_template_of_their_host(spark):
+    def text(i):
+        return " ".join(f"Words number {n} that only story {i} has." for n in range(4))
+
+    line = "<p class=line>Read on with a trial month at half the price.</p>"
+    rows = []
+    for i in range(1000):
+        article = f"<article><p>{text(i)}</p>{line}</article>" + (f"<article><p>More of {i}.</p>{line}</article>" if i == 7 else "")
+        side = f"<div class=column><p>Teaser {i} with some words of its own.</p></div>"
+        rows.append((i, f"http://a.example/{i}", "" if i == 3 else f"<body><div id=page>{article}{side}</div></body>"))
+    found = {r["page_id"]: r["text"] for r in main_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert found == {i: "" if i == 3 else f"{text(i)} More of 7." if i == 7 else text(i) for i in range(1000)}
+
+
+def test_text_beside_an_element_of_its_class_goes(spark):
+    rows = []
+    for i in range(30):
+        paragraphs = "".join(f"<p>Words number {n} that only story {i} has.</p>" for n in range(4))
+        part = "<div class=line></div><h4>Paid for by a shop.</h4>" if i % 3 else ""
+        rows.append((i, f"http://a.example/{i}", f"<body><div id=content>{paragraphs}{part}</div></body>"))
+    found = {r["page_id"]: r["text"] for r in main_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert found == {i: " ".join(f"Words number {n} that only story {i} has." for n in range(4)) for i in range(30)}
