@@ -35,6 +35,7 @@ MARKUP = re.compile(
 ATTRIBUTE = re.compile(r"""([^\s"'<>/=]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""")
 TELLING = re.compile(r"class|id|role|hidden|display", re.IGNORECASE)
 NOT_SHOWN = re.compile(r"(?:^|[;\s])display\s*:\s*none", re.IGNORECASE)
+MAIN_STEP = re.compile(r"(?:^|\t)(?:article|main)(?:$|[.\t])")
 NAME_PARTS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|\d+")
 
 RAW = frozenset("script style noscript template textarea title iframe svg math object select".split())
@@ -297,13 +298,13 @@ def parsed(pages: DataFrame) -> DataFrame:
     """The pages (page_id, url, host, html) as opened elements and text blocks instead of html.
 
     ``opened`` has path, number of times and running text (characters that are no links and no
-    junk) of each element path; ``blocks`` has path, text, a hash of both, whether it is junk, and how
-    many blocks of the page have that hash (with the first of them, else 0).
+    junk) of each element path; ``blocks`` has path, text, a hash of both, whether it is junk, how many
+    blocks of the page have that hash (with the first of them, else 0), and its running text.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
-            keys, opened, blocks = [], _Lists(3), _Lists(5)
+            keys, opened, blocks = [], _Lists(3), _Lists(6)
             for source in texts(batch, "html"):
                 page = parse(source)
                 keys.append(xxhash.xxh3_64_intdigest(source.encode("utf-8", "surrogatepass")) >> 1)
@@ -315,7 +316,7 @@ def parsed(pages: DataFrame) -> DataFrame:
                 ]
                 times = Counter(marks)
                 for path, mark, block in zip(paths, marks, page.blocks, strict=True):
-                    blocks.add(path, block.text, mark, block.junk, times.pop(mark, 0))
+                    blocks.add(path, block.text, mark, block.junk, times.pop(mark, 0), block.running)
                     if not block.junk:
                         for depth in range(1, len(block.path) + 1):
                             running[block.path[:depth]] += block.running
@@ -328,7 +329,7 @@ def parsed(pages: DataFrame) -> DataFrame:
                     *(batch.column(name) for name in ("page_id", "url", "host")),
                     pa.array(keys, pa.int64()),
                     opened.array({"path": pa.string(), "times": pa.int64(), "chars": pa.int64()}),
-                    blocks.array({"path": pa.string(), "text": pa.string(), "mark": pa.int64(), "junk": pa.bool_(), "times": pa.int32()}),
+                    blocks.array(BLOCK),
                 ],
                 names=["page_id", "url", "host", "page_key", "opened", "blocks"],
             )
@@ -338,10 +339,13 @@ def parsed(pages: DataFrame) -> DataFrame:
         run,
         f"page_id {kind}, url string, host string, page_key long, "
         "opened array<struct<path: string, times: long, chars: long>>, "
-        "blocks array<struct<path: string, text: string, mark: long, junk: boolean, times: int>>",
+        "blocks array<struct<path: string, text: string, mark: long, junk: boolean, times: int, running: int>>",
     )
 
 
+BLOCK = {"path": pa.string(), "text": pa.string(), "mark": pa.int64(), "junk": pa.bool_(), "times": pa.int32(), "running": pa.int32()}
+
+
 class _Lists:
     """Rows of lists of structs, gathered column by column."""
 
@@ -387,7 +391,7 @@ def _vector(*parts: str | Column) -> Column:
 
 
 def templates(pages: DataFrame, options: TemplateOptions = TemplateOptions()) -> DataFrame:
-    """Per host of parsed pages: its main path, and the constant text blocks of its template.
+    """Per host of parsed pages: its main path, the template's other parts, and its constant text blocks.
 
     Pages without any text do not count. Valid tokens are on most pages, and on nearly all of those
     once. As many tokens as are on half of the pages fit one page twice, which bounds a host's
@@ -419,11 +423,11 @@ def templates(pages: DataFrame, options: TemplateOptions = TemplateOptions()) ->
         for batch in slices(batches):
             rows = batch.to_pylist()
             found = [deduce(row["tokens"], row["all_pages"], options) for row in rows]
-            mains, constants = pa.array([main for main, _ in found], pa.string()), [marks for _, marks in found]
-            arrays = [batch.column("host"), mains, pa.array(constants, pa.list_(pa.int64()))]
-            yield pa.RecordBatch.from_arrays(arrays, names=["host", "main", "constants"])
+            kinds = pa.string(), pa.list_(pa.string()), pa.list_(pa.int64())
+            arrays = [pa.array([parts[i] for parts in found], kind) for i, kind in enumerate(kinds)]
+            yield pa.RecordBatch.from_arrays([batch.column("host"), *arrays], names=["host", "main", "sides", "constants"])
 
-    return hosts.mapInArrow(run, "host string, main string, constants array<bigint>")
+    return hosts.mapInArrow(run, "host string, main string, sides array<string>, constants array<bigint>")
 
 
 @dataclass
@@ -471,11 +475,14 @@ def _enclosing(path: str, slots: dict[str, Slot]) -> str:
     return path
 
 
-def deduce(tokens: list[dict], all_pages: int, options: TemplateOptions) -> tuple[str, list[int]]:
-    """Main path and constant texts of a host from its valid tokens."""
+def deduce(tokens: list[dict], all_pages: int, options: TemplateOptions) -> tuple[str, list[str], list[int]]:
+    """Main path, elements beside the way to it, and constant texts of a host from its valid tokens."""
     slots = nested_classes(tokens, all_pages, options.same)
     constants = [mark for slot in slots.values() for mark, pages in slot.texts if pages >= options.constant_pages]
-    return main_path(slots, options.share), sorted(constants)
+    main = main_path(slots, options.share)
+    around = [path for path in slots if main != path and (not path or main.startswith(path + "\t"))]
+    sides = [path for outer in around for path in slots[outer].nested if path != main and path not in around]
+    return main, sorted(sides), sorted(constants)
 
 
 def main_path(slots: dict[str, Slot], share: float) -> str:
@@ -503,22 +510,42 @@ def _tag(path: str) -> str:
     return path.rpartition("\t")[2].partition(".")[0]
 
 
-def main_blocks(blocks: Column, main: Column, constants: Column) -> Column:
+def _within(path: str, outer: str) -> bool:
+    return not outer or path == outer or path.startswith(outer + "\t")
+
+
+def main_blocks(blocks: list[dict], main: str, sides: list[str], constants: set[int], share: float) -> list[dict]:
     """The blocks inside the main path, without junk and constants.
 
-    A page without that element gives its ``article`` or ``main`` elements, else all its blocks.
+    The main path counts on a page only if it holds the share of the page's running text there;
+    constants and those other parts of the template that are no longer than it are left out of that.
+    Other pages give their ``article`` or ``main`` elements if these hold most of the running text, else all blocks.
     Constants are kept where they are most of what is left: then the pages are copies of each other.
     """
-
-    def chars(of: Column) -> Column:
-        return F.aggregate(of, F.lit(0).cast("long"), lambda total, b: total + F.length(b.text))
-
-    clean = F.filter(blocks, lambda b: ~b.junk)
-    inside = F.filter(clean, lambda b: (main == "") | (b.path == main) | b.path.startswith(F.concat(main, F.lit("\t"))))
-    named = F.filter(clean, lambda b: b.path.rlike(r"(^|\t)(article|main)($|[.\t])"))
-    picked = F.when(F.size(inside) > 0, inside).when(F.size(named) > 0, named).otherwise(clean)
-    varied = F.filter(picked, lambda b: ~F.array_contains(constants, b.mark))
-    return F.when(F.size(constants) == 0, picked).when(2 * chars(varied) < chars(picked), picked).otherwise(varied)
+    clean = [b for b in blocks if not b["junk"]]
+    inside = [b for b in clean if _within(b["path"], main)]
+    own, other, beside = sum(b["running"] for b in inside), 0, defaultdict(int)
+    if main:
+        for b in clean:
+            if b["mark"] not in constants and not _within(b["path"], main):
+                side = next((side for side in sides if _within(b["path"], side)), None)
+                if side is None:
+                    other += b["running"]
+                else:
+                    beside[side] += b["running"]
+    other += sum(chars for chars in beside.values() if chars > own)
+    if inside and own >= share * (own + other):
+        picked = inside
+    else:
+        picked = [b for b in clean if MAIN_STEP.search(b["path"])]
+        if not picked or 2 * sum(b["running"] for b in picked) < sum(b["running"] for b in clean if b["mark"] not in constants):
+            picked = clean
+    varied = [b for b in picked if b["mark"] not in constants]
+    return picked if 2 * _chars(varied) < _chars(picked) else varied
+
+
+def _chars(blocks: list[dict]) -> int:
+    return sum(len(b["text"]) for b in blocks)
 
 
 def main_text(pages: DataFrame, options: TemplateOptions = TemplateOptions()) -> DataFrame:
@@ -532,8 +559,18 @@ def main_text(pages: DataFrame, options: TemplateOptions = TemplateOptions()) ->
     hosted = pages.select("page_id", "url", url_host(F.col("url")).alias("host"), F.col("html").cast("string"))
     rows = land(parsed(hosted), "pages")
     found = rows.join(land(templates(rows, options), "templates"), "host", "left")
-    none = F.array().cast("array<bigint>")
-    kept = main_blocks(F.col("blocks"), F.coalesce("main", F.lit("")), F.coalesce("constants", none))
-    text = F.array_join(F.transform(kept, lambda b: b.text), " ")
-    named = found.select("page_id", "url", text.alias("text"))
+    found = found.select("page_id", "url", "blocks", "main", "sides", "constants")
+    kind, share = pages.schema["page_id"].dataType.simpleString(), options.share
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches):
+            kept = []
+            for blocks, main, sides, constants in zip(*(batch.column(i).to_pylist() for i in range(2, 6)), strict=True):
+                own = main_blocks(blocks, main or "", sides or [], set(constants or ()), share)
+                kept.append(" ".join(b["text"] for b in own))
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("page_id"), batch.column("url"), pa.array(kept, pa.string())], names=["page_id", "url", "text"]
+            )
+
+    named = found.mapInArrow(run, f"page_id {kind}, url string, text string")
     return named.select("*", F.length("text").cast("long").alias("n_chars"))

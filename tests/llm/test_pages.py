@@ -129,3 +129,25 @@ def test_text_beside_an_element_of_its_class_goes(spark):
         rows.append((i, f"http://a.example/{i}", f"<body><div id=content>{paragraphs}{part}</div></body>"))
     found = {r["page_id"]: r["text"] for r in main_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
     assert found == {i: " ".join(f"Words number {n} that only story {i} has." for n in range(4)) for i in range(30)}
+
+
+def test_main_path_counts_only_where_it_holds_the_running_text(spark):
+    def text(i):
+        return " ".join(f"Words number {n} that only story {i} has." for n in range(4))
+
+    rows, expected = [], {}
+    for i in range(40):
+        intro, story = (f"Intro of {i}.", text(i)) if i % 4 == 0 else (text(i), "")
+        box = f"<div class=story><p>{story}</p></div>" if story else "<div class=story></div>" if i % 2 else ""
+        tag = "article" if i >= 20 else "div"
+        rows.append((i, f"http://{tag}.example/{i}", f"<body><{tag} class=intro><p>{intro}</p></{tag}>{box}</body>"))
+        expected[i] = f"{intro} {story}".strip()
+    # A short article beside a part that all pages have stays alone.
+    rows += [
+        (i, f"http://short.example/{i}", f"<body><div class=body><p>{text(i) * (1 if i == 50 else 4)}</p></div><div class=column><p>{text(-i)}</p></div></body>")
+        for i in range(50, 70)
+    ]
+    expected |= {i: text(i) * (1 if i == 50 else 4) for i in range(50, 70)}
+    rows = [(i, url, source.replace(text(-50), text(-50)[:100])) for i, url, source in rows]
+    found = {r["page_id"]: r["text"] for r in main_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert found == expected
