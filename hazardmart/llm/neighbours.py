@@ -217,8 +217,11 @@ def _compare(k: int):
         if len(queries) and len(rows):
             rows = rows.sort_values("id", kind="stable")
             ids, vectors = rows["id"].to_numpy(), np.stack(rows["vec"].to_list()).astype(np.float64)
+            firsts = np.flatnonzero(np.append(True, ids[1:] != ids[:-1]))
+            ids = ids[firsts]
             for query_id, query in zip(queries["id"], queries["vec"], strict=True):
                 distances = np.sqrt(((vectors - query.astype(np.float64)) ** 2).sum(axis=1))
+                distances = np.minimum.reduceat(distances, firsts)  # one place per id, for its nearest row
                 distances[ids == query_id] = np.inf
                 best = np.argsort(distances, kind="stable")[:k] if len(ids) <= k else _nearest(distances, k)
                 best = best[np.isfinite(distances[best])]

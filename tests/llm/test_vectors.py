@@ -53,3 +53,16 @@ def test_empty_tables(spark):
     frame = spark.createDataFrame([], SCHEMA)
     assert exact_top_k(frame, frame).collect() == []
     assert nearest_neighbours(frame, frame).collect() == []
+
+
+def test_repeated_ids_take_one_place(spark):
+    random = np.random.default_rng(1)
+    vectors = random.normal(size=(60, 4))
+    far = vectors + 50.0
+    order = np.argsort(((vectors - vectors[0]) ** 2).sum(axis=1))
+    rows = [(i, vectors[i].tolist()) for i in range(60)]
+    rows += [(int(order[1]), vectors[order[1]].tolist())] * 15  # more copies than k
+    rows += [(i, vectors[i].tolist()) for i in range(60)] + [(int(order[2]), far[order[2]].tolist())] * 3
+    frame = spark.createDataFrame(rows, SCHEMA)
+    result = sorted(nearest_neighbours(frame, frame.filter("vec_id = 0")).collect(), key=lambda r: r["rank"])
+    assert [(r["rank"], r["vec_id"]) for r in result] == [(rank, int(order[rank])) for rank in range(1, 11)]
