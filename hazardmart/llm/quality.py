@@ -94,6 +94,7 @@ class KernelRidge:
         self.phases = random.uniform(0, 2 * np.pi, options.features)
         self.weights = np.zeros(options.features + 1)
         self.steps = (np.array([0.0]), np.array([0.5]))
+        self.fitted = False
 
     def features(self, rows: np.ndarray) -> np.ndarray:
         scaled = np.clip((rows - self.mean) / self.deviation, -6, 6)
@@ -145,7 +146,8 @@ def learn(docs: DataFrame, labels: DataFrame, usable, options: QualityOptions) -
     """The model fitted to the bounded sample; without labelled rows every score is one half.
 
     What reaches the driver are the partitions' sums, of fixed size and number, and a fitted value and
-    a label for a quarter of the sample.
+    a label for a quarter of the sample. If all rows or none fall into that quarter, the model is both
+    fitted and calibrated on all.
     """
     chosen = sampled_labels(labels, "quality", usable, options.sample)
     rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).join(chosen, "doc_id")
@@ -163,14 +165,14 @@ def learn(docs: DataFrame, labels: DataFrame, usable, options: QualityOptions) -
     measured = land(measured.repartition(options.partitions), "statistics")
 
     def moments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros((3, 14))
-        for matrix, _, _ in _rows(batches):
-            total += [np.full(14, len(matrix)), matrix.sum(axis=0), (matrix**2).sum(axis=0)]
+        total = np.zeros((4, 14))
+        for matrix, _, calibrates in _rows(batches):
+            total += [np.full(14, len(matrix)), matrix.sum(axis=0), (matrix**2).sum(axis=0), np.full(14, calibrates.sum())]
         yield pa.RecordBatch.from_pydict({"sums": pa.array([total.tobytes()], pa.binary())})
 
-    count, sums, squares = sum(
-        (np.frombuffer(row["sums"]).reshape(3, 14) for row in measured.mapInArrow(moments, "sums binary").collect()),
-        np.zeros((3, 14)),
+    count, sums, squares, calibrating = sum(
+        (np.frombuffer(row["sums"]).reshape(4, 14) for row in measured.mapInArrow(moments, "sums binary").collect()),
+        np.zeros((4, 14)),
     )
     mean = sums / np.maximum(count, 1)
     model = KernelRidge(mean, np.sqrt(np.maximum(squares / np.maximum(count, 1) - mean**2, 0)), options)
@@ -178,13 +180,15 @@ def learn(docs: DataFrame, labels: DataFrame, usable, options: QualityOptions) -
         return model
 
     size = options.features + 1
+    apart = 0 < calibrating[0] < count[0]
 
     def equations(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros((size, size + 1))
         rows = 0
         for matrix, label, calibrates in _rows(batches):
-            features = model.features(matrix[~calibrates])
-            total += features.T @ np.hstack([features, label[~calibrates][:, None]])
+            fits = ~calibrates if apart else np.full(len(matrix), True)
+            features = model.features(matrix[fits])
+            total += features.T @ np.hstack([features, label[fits][:, None]])
             rows += len(features)
         yield pa.RecordBatch.from_pydict({"sums": pa.array([total.tobytes()], pa.binary()), "n": pa.array([rows], pa.int64())})
 
@@ -194,22 +198,21 @@ def learn(docs: DataFrame, labels: DataFrame, usable, options: QualityOptions) -
 
     def fitted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for matrix, label, calibrates in _rows(batches):
-            values = model.raw(matrix[calibrates])
-            yield pa.RecordBatch.from_pydict({"value": pa.array(values), "label": pa.array(label[calibrates].astype(np.float64))})
+            known = calibrates if apart else np.full(len(matrix), True)
+            values = model.raw(matrix[known])
+            yield pa.RecordBatch.from_pydict({"value": pa.array(values), "label": pa.array(label[known].astype(np.float64))})
 
     kept = measured.mapInArrow(fitted, "value double, label double").toPandas()
-    if len(kept):
-        model.steps = isotonic(kept["value"].to_numpy(), kept["label"].to_numpy())
+    model.steps = isotonic(kept["value"].to_numpy(), kept["label"].to_numpy())
+    model.fitted = True
     return model
 
 
-def with_quality(docs: DataFrame, labels: DataFrame, name: str, options: QualityOptions = QualityOptions()) -> DataFrame:
-    """The rows with the quality of their whole text, from 0 to 1, as column ``name``.
+def _learnt(docs: DataFrame, labels: DataFrame, options: QualityOptions) -> KernelRidge:
+    return learn(docs, labels, held_out_remainder(F.col("doc_id"), 4) != 2, options)
 
-    Learns from labelled ids whose crc32 modulo 4 is not 2. Null counts as the empty text, whose
-    statistics are all zero. Rows are scored one by one, repeated ones alike.
-    """
-    model = learn(docs, labels, held_out_remainder(F.col("doc_id"), 4) != 2, options)
+
+def _scored(docs: DataFrame, model: KernelRidge, name: str) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def scorer():
@@ -219,6 +222,15 @@ def with_quality(docs: DataFrame, labels: DataFrame, name: str, options: Quality
     return with_score(docs, name, scorer)
 
 
+def with_quality(docs: DataFrame, labels: DataFrame, name: str, options: QualityOptions = QualityOptions()) -> DataFrame:
+    """The rows with the quality of their whole text, from 0 to 1, as column ``name``.
+
+    Learns from labelled ids whose crc32 modulo 4 is not 2. Null counts as the empty text, whose
+    statistics are all zero. Rows are scored one by one, repeated ones alike.
+    """
+    return _scored(docs, _learnt(docs, labels, options), name)
+
+
 def score_quality(docs: DataFrame, labels: DataFrame, options: QualityOptions = QualityOptions()) -> DataFrame:
     """doc_id, held_out, score and predicted of every document."""
     rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
@@ -226,6 +238,8 @@ def score_quality(docs: DataFrame, labels: DataFrame, options: QualityOptions =
 
 
 def without_low_quality(docs: DataFrame, labels: DataFrame, options: QualityOptions = QualityOptions()) -> DataFrame:
-    """The documents that reach the threshold, with their own columns."""
-    scored = with_quality(docs, labels, "_quality", options)
-    return scored.filter(F.col("_quality") >= options.threshold).select(*docs.columns)
+    """The documents that reach the threshold, with their own columns; all if there is nothing to learn from."""
+    model = _learnt(docs, labels, options)
+    if not model.fitted:
+        return docs
+    return _scored(docs, model, "_quality").filter(F.col("_quality") >= options.threshold).select(*docs.columns)

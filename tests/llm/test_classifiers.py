@@ -60,3 +60,21 @@ def test_mixing_odd_tables(spark):
     rows = mixing.mix_sources(spark.createDataFrame([(None, None, "x")] * 50 + [(1, "s", "y")], schema), total=5000).collect()
     assert {row["source"] for row in rows} == {None, "s"}
     assert max(row["copy"] for row in rows if row["source"] == "s") > 500  # a rate in the hundreds
+
+
+def test_filters_without_usable_labels_keep_all_documents(spark):
+    docs = spark.createDataFrame([(i, f"Document {i} has some words. " * (i % 5 + 1)) for i in range(40)], "doc_id long, text string")
+    schema = "doc_id long, quality int, toxic int"
+    for rows in ([], [(1, None, None), (None, 1, 0)], [(1000, 1, 0)]):
+        labels = spark.createDataFrame(rows, schema)
+        assert quality.without_low_quality(docs, labels).count() == 40
+        assert toxicity.without_toxic(docs, labels).count() == 40
+
+
+def test_quality_is_calibrated_without_rows_set_apart(spark):
+    docs = spark.range(400).selectExpr("id AS doc_id", "IF(id % 2 = 0, repeat('| # ', 50), 'Some words that make up a document.') AS text")
+    own = "pmod(xxhash64(doc_id, 3), 4) {} 0 AND crc32(cast(cast(doc_id AS string) AS binary)) % 4 <> 2"
+    for apart in ("<>", "="):  # no labelled row in the calibrating quarter; none outside it
+        labels = docs.filter(own.format(apart)).selectExpr("doc_id", "int(doc_id % 2) AS quality", "0 AS toxic")
+        kept = {row["doc_id"] for row in quality.without_low_quality(docs, labels).collect()}
+        assert kept == {*range(1, 400, 2)}
