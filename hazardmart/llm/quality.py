@@ -152,16 +152,17 @@ def learn(docs: DataFrame, labels: DataFrame, usable, options: QualityOptions) -
     chosen = sampled_labels(labels, "quality", usable, options.sample)
     rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).join(chosen, "doc_id")
     calibrates = F.pmod(F.xxhash64("doc_id", F.lit(options.seed)), F.lit(4)) == 0
-    rows = rows.select("text", "label", calibrates.alias("calibrates"))
+    rows = rows.select("doc_id", "text", "label", calibrates.alias("calibrates"))
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
             found = pa.array(map(statistics, texts(batch)), pa.list_(pa.float64()))
-            yield pa.RecordBatch.from_arrays(
-                [found, batch.column("label"), batch.column("calibrates")], names=["x", "label", "calibrates"]
-            )
+            kept = [batch.column(name) for name in ("doc_id", "label", "calibrates")]
+            yield pa.RecordBatch.from_arrays([found, *kept], names=["x", "doc_id", "label", "calibrates"])
 
-    measured = rows.mapInArrow(measure, "x array<double>, label int, calibrates boolean")
+    measured = rows.mapInArrow(measure, "x array<double>, doc_id long, label int, calibrates boolean")
+    # Rows that share an id count once; of their texts only the statistics are shuffled.
+    measured = measured.groupBy("doc_id").agg(*(F.min(name).alias(name) for name in ("x", "label", "calibrates"))).drop("doc_id")
     measured = land(measured.repartition(options.partitions), "statistics")
 
     def moments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

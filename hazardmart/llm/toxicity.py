@@ -135,10 +135,14 @@ def learn(docs: DataFrame, labels: DataFrame, usable: Column, options: ToxicityO
     """The model's weights, learnt in one task from the bounded sample in the order of an id hash.
 
     Without labelled rows all weights are zero. The sample's ids are written first; the file is small
-    enough to be broadcast, so the documents are not shuffled.
+    enough to be broadcast, so of the documents only the sample's are shuffled. Of rows that share an id one is
+    learnt from, the first by a hash of its text, picked before the learning task.
     """
     chosen = sampled_labels(labels, "toxic", usable, options.sample)
     rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).join(chosen, "doc_id")
+    first = F.struct(F.xxhash64("text").alias("hash"), "text")
+    rows = rows.groupBy("doc_id").agg(F.min(first).alias("first"), F.first("label").alias("label"))
+    rows = rows.select("doc_id", "first.text", "label")
     order = F.xxhash64("doc_id", F.lit(23))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -1,6 +1,7 @@
 """Classifiers by their held-out accuracy, and mixing by its shares."""
 
 import numpy as np
+from pyspark.sql import functions as F
 
 from hazardmart.llm import mixing, quality, toxicity
 from hazardmart.llm.common import read
@@ -78,3 +79,20 @@ def test_quality_is_calibrated_without_rows_set_apart(spark):
         labels = docs.filter(own.format(apart)).selectExpr("doc_id", "int(doc_id % 2) AS quality", "0 AS toxic")
         kept = {row["doc_id"] for row in quality.without_low_quality(docs, labels).collect()}
         assert kept == {*range(1, 400, 2)}
+
+
+def test_copies_of_a_sampled_document_count_once(spark):
+    rows = [(i, ("you awful fool " if i % 3 == 0 else "a fine day ") * (1 + i % 7) + f"word{i}") for i in range(120)]
+    labels = spark.createDataFrame([(i, int(i % 3 > 0), int(i % 3 == 0)) for i in range(120)], "doc_id long, quality int, toxic int")
+    once = spark.createDataFrame(rows, "doc_id long, text string")
+    copied = spark.createDataFrame(rows + [rows[5]] * 300, "doc_id long, text string")
+    usable = F.lit(True)
+    options = toxicity.ToxicityOptions()
+    for one, other in zip(toxicity.learn(once, labels, usable, options), toxicity.learn(copied, labels, usable, options), strict=True):
+        assert np.array_equal(one, other)
+    models = [quality.learn(docs, labels, usable, quality.QualityOptions()) for docs in (once, copied)]
+    assert np.allclose(models[0].mean, models[1].mean) and np.allclose(models[0].deviation, models[1].deviation)
+    # Texts of one id: one of them is learnt from, whatever their order.
+    more = [*rows, (5, "another text"), (5, None)]
+    both = [toxicity.learn(spark.createDataFrame(part, "doc_id long, text string"), labels, usable, options) for part in (more, more[::-1])]
+    assert all(np.array_equal(one, other) for one, other in zip(*both, strict=True))
