@@ -285,6 +285,16 @@ def _linked(found: DataFrame | None, links: DataFrame) -> DataFrame:
     return land(components(links), "components")
 
 
+def _shared_ids(whole: DataFrame, classes: DataFrame) -> DataFrame:
+    """Links (a, b) between the representatives of the classes that share a doc_id."""
+    mark = F.xxhash64("print")
+    several = whole.groupBy("doc_id").agg(F.min(mark).alias("least"), F.max(mark).alias("most")).filter("least < most")
+    several = land(several.select("doc_id"), "shared_ids")
+    own = whole.join(several, "doc_id").select("doc_id", "print").distinct().join(classes.select("print", "doc"), "print")
+    least = own.groupBy("doc_id").agg(F.min("doc").alias("b"))
+    return land(own.join(least, "doc_id").filter("b < doc").select(F.col("doc").alias("a"), "b").distinct(), "pairs")
+
+
 def near_duplicates(docs: DataFrame, options: DedupOptions = DedupOptions()) -> DataFrame:
     """Per row: doc_id, n_shingles, component_id and kept (whether it is the component's smallest id).
 
@@ -316,6 +326,9 @@ def near_duplicates(docs: DataFrame, options: DedupOptions = DedupOptions()) ->
         found = _linked(found, _confirmed(rest, docs, options))
     if found is None:
         found = _linked(None, rest)
+    shared = _shared_ids(whole, classes)
+    if shared.take(1):
+        found = _linked(found, shared)
 
     named = classes.select("print", "doc").join(found.withColumnRenamed("node", "doc"), "doc", "left")
     named = named.select("print", F.coalesce("component", "doc").alias("component"))
@@ -329,11 +342,24 @@ def near_duplicates(docs: DataFrame, options: DedupOptions = DedupOptions()) ->
 def without_duplicates(docs: DataFrame, options: DedupOptions = DedupOptions()) -> DataFrame:
     """One document of each near-duplicate group: the one with the smallest id.
 
-    Of rows that share a doc_id, and of equal texts without one, one row stays.
+    Texts decide, not ids: rows that share a doc_id stay or go each by its own text, and rows without
+    one are compared like others and come after those with an id. Of rows with equal id and text, one stays.
     """
-    judged = land(near_duplicates(docs, options), "near_duplicates")
-    dropped = judged.filter("NOT kept").select("doc_id").distinct()
-    own = F.when(F.col("doc_id").isNull(), F.col("text"))
-    names = docs.columns
-    kept = docs.join(dropped, "doc_id", "left_anti").select(*names, own.alias("_own_text"))
-    return kept.dropDuplicates(["doc_id", "_own_text"]).select(*names)
+    names, key = docs.columns, F.col("doc_id").cast("long")
+    mark = F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit("")))
+    texts_of = docs.groupBy(key.alias("_id")).agg(F.min(mark).alias("least"), F.max(mark).alias("most"))
+    several = land(texts_of.filter("_id IS NULL OR least < most").select("_id"), "shared_ids")
+    marked = several.filter("_id IS NOT NULL").withColumn("_several", F.lit(True))
+    # A node for each id and text: the id, or a hash of both where the id is missing or has several texts.
+    derived = F.col("_several").isNotNull() | F.col("_id").isNull()
+    rows = docs.withColumn("_id", key).join(marked, "_id", "left")
+    rows = rows.withColumn("_node", F.when(derived, F.xxhash64(F.lit("node"), "_id", mark)).otherwise(F.col("_id")))
+    nodes = rows.select(F.col("_node").alias("doc_id"), "text")
+    judged = land(near_duplicates(nodes, options).select(F.col("doc_id").alias("_node"), "component_id", "kept").distinct(), "near_duplicates")
+    kept = judged.filter("kept").select("_node")
+    if several.take(1):
+        # Derived nodes have no order of their own: the smallest real id of a component counts.
+        order = F.struct(F.col("_id").isNull().alias("last"), "_id", "_node")
+        named = rows.select("_node", "_id").distinct().join(judged, "_node")
+        kept = named.groupBy("component_id").agg(F.min(order).alias("first")).select("first._node")
+    return rows.join(kept, "_node", "left_semi").dropDuplicates(["_node"]).select(*names)

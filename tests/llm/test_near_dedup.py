@@ -66,3 +66,16 @@ def test_repeated_rows_missing_ids_and_extra_columns(spark):
 
 def test_empty_table(spark):
     assert near_duplicates(spark.createDataFrame([], "doc_id long, text string")).collect() == []
+
+
+def test_rows_that_share_an_id_are_one_node_and_lose_no_text(spark):
+    one, two, three = (" ".join(f"{name}{i}" for i in range(60)) for name in "abc")
+    rows = [(1, one), (5, one), (5, two), (7, two + " more"), (9, None), (9, three), (None, three + " more"), (None, three + " again"), (None, one + " x")]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    judged = {(r["doc_id"], r["component_id"]) for r in near_duplicates(frame).collect() if r["doc_id"] in (1, 5, 7)}
+    assert judged == {(1, 1), (5, 1), (7, 1)}
+    kept = sorted((r["doc_id"], r["text"] or "") for r in without_duplicates(frame).collect())
+    assert kept == [(1, one), (5, two), (9, ""), (9, three)]
+    alone = spark.createDataFrame([(None, three), (None, three + " more"), (None, one)], "doc_id long, text string")
+    left = [r["text"] for r in without_duplicates(alone).collect()]
+    assert len(left) == 2 and one in left
