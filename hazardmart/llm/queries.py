@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hazardmart.llm import bpe_codec, mixing, near_dedup, neighbours, packing, page_template, prefix_trie, quality, token_counts, topk, toxicity, url_filter
+from hazardmart.llm import bpe_codec, mixing, near_dedup, neighbours, packing, page_template, prefix_trie, quality, spelling, token_counts, topk, toxicity, url_filter
 from hazardmart.llm.common import read
 
 RULES = url_filter.Rules(
@@ -61,6 +61,10 @@ def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefix_trie.rebuilt_trie(read(spark, sf_dir, "conversations"))
 
 
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.spelling_variants(read(spark, sf_dir, "documents"))
+
+
 def op13_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(read(spark, sf_dir, "documents"), keep_ids=False)
 
@@ -79,6 +83,7 @@ QUERIES = {
         op9_exact_top_k,
         op10_url_filter,
         op11_prefix_trie,
+        op12_spelling_variants,
         op13_best_fit_packing,
     )
 }
