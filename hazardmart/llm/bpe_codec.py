@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from hazardmart.llm.byte_bpe import ByteBpe, default_tokenizer, load
-from hazardmart.llm.common import BoundedCache, extended, slices, texts
+from hazardmart.llm.common import BoundedCache, extended, slices, spare, texts
 
 ID_BYTES = np.dtype("<u4")
 
@@ -94,19 +94,19 @@ def encode(docs: DataFrame, text: str = "text", tokenizer: str = "") -> DataFram
     path = tokenizer or default_tokenizer()
     kept = docs.select(*_without(docs, {text.lower(), "n_tokens", "token_ids"}))
     schema = extended(kept, n_tokens="long", token_ids="binary")
-    names = kept.columns
+    names, whole = kept.columns, spare(docs, "whole_text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = codec(path)
         for batch in slices(batches):
-            ids = [coder.encode(row) for row in texts(batch, "_text")]
+            ids = [coder.encode(row) for row in texts(batch, whole)]
             lengths = pa.array([len(row) // ID_BYTES.itemsize for row in ids], pa.int64())
             yield pa.RecordBatch.from_arrays(
                 [*map(batch.column, names), lengths, pa.array(ids, pa.binary())],
                 names=[*names, "n_tokens", "token_ids"],
             )
 
-    return docs.select(*names, F.col(text).cast("string").alias("_text")).mapInArrow(run, schema)
+    return docs.select(*names, F.col(text).cast("string").alias(whole)).mapInArrow(run, schema)
 
 
 def decode(encoded: DataFrame, text: str = "text", tokenizer: str = "") -> DataFrame:

@@ -56,8 +56,16 @@ class BoundedCache(dict):
 
 
 def word_hashes() -> BoundedCache:
-    """64-bit hashes of words, as strings (in UTF-8) or as bytes."""
-    return BoundedCache(xxhash.xxh3_64_intdigest)
+    """64-bit hashes of words, as strings (in UTF-8) or as bytes; about 10 MB at most."""
+    return BoundedCache(xxhash.xxh3_64_intdigest, entries=60_000)
+
+
+def spare(frame: DataFrame, name: str) -> str:
+    """``name``, or a longer one if ``frame`` has a column so called."""
+    taken = {column.lower() for column in frame.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
 
 
 def with_score(docs: DataFrame, name: str, scorer: Callable[[], Callable[[str], float]]) -> DataFrame:

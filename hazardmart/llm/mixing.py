@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from hazardmart.llm.common import spare
 from hazardmart.sources.landed import land
 
 # Hexadecimal digits of the uniform number: 52 bits, exact in a double.
@@ -83,11 +84,12 @@ def mix_sources(
     """
     kept = [name for name in docs.columns if name.lower() not in {"copy", "shuffle_key"}]
     tables = land(poisson_tables(source_rates(docs, weights, temperature, total)), "poisson")
-    tables = tables.select(F.col("source").alias("_source"), "cumulative")
-    drawn = docs.select(*kept, uniform(seed, F.col("doc_id")).alias("_uniform"))
-    matched = drawn.join(tables, F.col("source").eqNullSafe(F.col("_source")))
-    repeats = F.size(F.filter("cumulative", lambda c: c <= F.col("_uniform")))
-    copies = matched.select(*kept, F.posexplode(F.array_repeat(F.lit(0), repeats)).alias("copy", "_zero"))
+    origin, shares, drawn_at, zero = (spare(docs, name) for name in ("source_rate", "cumulative", "uniform", "zero"))
+    tables = tables.select(F.col("source").alias(origin), F.col("cumulative").alias(shares))
+    drawn = docs.select(*kept, uniform(seed, F.col("doc_id")).alias(drawn_at))
+    matched = drawn.join(tables, F.col("source").eqNullSafe(F.col(origin)))
+    repeats = F.size(F.filter(shares, lambda c: c <= F.col(drawn_at)))
+    copies = matched.select(*kept, F.posexplode(F.array_repeat(F.lit(0), repeats)).alias("copy", zero))
     keyed = copies.select(*kept, "copy", _hash(seed + 1, F.col("doc_id"), F.col("copy")).alias("shuffle_key"))
     return keyed.repartition("shuffle_key").sortWithinPartitions("shuffle_key")
 

@@ -20,7 +20,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from hazardmart.llm.common import BoundedCache, hash_sequence, slices, texts, word_hashes
+from hazardmart.llm.common import BoundedCache, hash_sequence, slices, spare, texts, word_hashes
 from hazardmart.llm.components import components
 from hazardmart.sources.landed import land
 
@@ -167,14 +167,20 @@ def _id_places(ids: pa.Array, bits: int) -> np.ndarray:
     return (mixed ^ mixed >> np.uint64(32)) % np.uint64(bits)
 
 
+def _bit(places: np.ndarray) -> np.ndarray:
+    """The bit of each place inside its byte."""
+    return np.uint8(1) << (places & np.uint64(7)).astype(np.uint8)
+
+
 def _id_filter(ids: DataFrame, bits: int) -> np.ndarray:
     """A bitmap of fixed size with the bit of every id set, put together from a few tasks' bitmaps."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        marked = np.zeros(bits, bool)
+        marked = np.zeros(bits // 8, np.uint8)
         for batch in batches:
-            marked[_id_places(batch.column(0), bits)] = True
-        yield pa.RecordBatch.from_pydict({"bits": pa.array([np.packbits(marked).tobytes()], pa.binary())})
+            places = _id_places(batch.column(0), bits)
+            np.bitwise_or.at(marked, places >> np.uint64(3), _bit(places))
+        yield pa.RecordBatch.from_pydict({"bits": pa.array([marked.tobytes()], pa.binary())})
 
     parts = ids.repartition(4).mapInArrow(run, "bits binary").toLocalIterator()
     return reduce(np.bitwise_or, (np.frombuffer(row["bits"], np.uint8) for row in parts), np.zeros(bits // 8, np.uint8))
@@ -191,9 +197,10 @@ def _confirmed(pairs: DataFrame, docs: DataFrame, options: DedupOptions) -> Data
     shared = docs.sparkSession.sparkContext.broadcast(marked)
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits = np.unpackbits(shared.value).astype(bool)
+        marked = shared.value
         for batch in batches:
-            needed = bits[_id_places(batch.column("doc_id"), options.filter_bits)] & batch.column("doc_id").is_valid().to_numpy(False)
+            places = _id_places(batch.column("doc_id"), options.filter_bits)
+            needed = (marked[places >> np.uint64(3)] & _bit(places) != 0) & batch.column("doc_id").is_valid().to_numpy(False)
             for part in slices([batch.filter(pa.array(needed))]):
                 found = [shingles(text, options.words).tobytes() for text in texts(part)]
                 yield pa.RecordBatch.from_pydict({"doc": part.column("doc_id"), "shingles": pa.array(found, pa.binary())})
@@ -346,20 +353,27 @@ def without_duplicates(docs: DataFrame, options: DedupOptions = DedupOptions())
     one are compared like others and come after those with an id. Of rows with equal id and text, one stays.
     """
     names, key = docs.columns, F.col("doc_id").cast("long")
+    known, node, shares = (spare(docs, name) for name in ("known_id", "node", "shares_id"))
     mark = F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit("")))
-    texts_of = docs.groupBy(key.alias("_id")).agg(F.min(mark).alias("least"), F.max(mark).alias("most"))
-    several = land(texts_of.filter("_id IS NULL OR least < most").select("_id"), "shared_ids")
-    marked = several.filter("_id IS NOT NULL").withColumn("_several", F.lit(True))
+    texts_of = docs.groupBy(key.alias(known)).agg(F.min(mark).alias("least"), F.max(mark).alias("most"))
+    several = land(texts_of.filter(F.col(known).isNull() | (F.col("least") < F.col("most"))).select(known), "shared_ids")
+    marked = several.filter(F.col(known).isNotNull()).withColumn(shares, F.lit(True))
     # A node for each id and text: the id, or a hash of both where the id is missing or has several texts.
-    derived = F.col("_several").isNotNull() | F.col("_id").isNull()
-    rows = docs.withColumn("_id", key).join(marked, "_id", "left")
-    rows = rows.withColumn("_node", F.when(derived, F.xxhash64(F.lit("node"), "_id", mark)).otherwise(F.col("_id")))
-    nodes = rows.select(F.col("_node").alias("doc_id"), "text")
-    judged = land(near_duplicates(nodes, options).select(F.col("doc_id").alias("_node"), "component_id", "kept").distinct(), "near_duplicates")
-    kept = judged.filter("kept").select("_node")
+    derived = F.col(shares).isNotNull() | F.col(known).isNull()
+    rows = docs.withColumn(known, key).join(marked, known, "left")
+    rows = rows.withColumn(node, F.when(derived, F.xxhash64(F.lit("node"), known, mark)).otherwise(F.col(known)))
+    nodes = rows.select(F.col(node).alias("doc_id"), "text")
+    judged = land(near_duplicates(nodes, options).select(F.col("doc_id").alias(node), "component_id", "kept"), "near_duplicates")
+    # Only rows whose node occurs again are shuffled with their texts.
+    again = land(judged.groupBy(node).agg(F.count("*").alias("n")).filter("n > 1").select(node), "again")
+    kept = judged.filter("kept").select(node).distinct()
     if several.take(1):
         # Derived nodes have no order of their own: the smallest real id of a component counts.
-        order = F.struct(F.col("_id").isNull().alias("last"), "_id", "_node")
-        named = rows.select("_node", "_id").distinct().join(judged, "_node")
-        kept = named.groupBy("component_id").agg(F.min(order).alias("first")).select("first._node")
-    return rows.join(kept, "_node", "left_semi").dropDuplicates(["_node"]).select(*names)
+        order = F.struct(F.col(known).isNull().alias("last"), F.col(known).alias("id"), F.col(node).alias("node"))
+        named = rows.select(node, known).distinct().join(judged.drop("kept").distinct(), node)
+        kept = named.groupBy("component_id").agg(F.min(order).alias("first")).select(F.col("first.node").alias(node))
+    left = rows.join(land(kept, "kept"), node, "left_semi")
+    if not again.take(1):
+        return left.select(*names)
+    once = left.join(again, node, "left_anti").select(*names)
+    return once.union(left.join(again, node, "left_semi").dropDuplicates([node]).select(*names))

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hazardmart.llm.common import held_out_remainder, judged, sampled_labels, slices, texts, with_score
+from hazardmart.llm.common import held_out_remainder, judged, sampled_labels, slices, spare, texts, with_score
 from hazardmart.sources.landed import land
 
 SYMBOL_RUNS = re.compile(r"[^\w\s]{2,}")
@@ -243,4 +243,5 @@ def without_low_quality(docs: DataFrame, labels: DataFrame, options: QualityOpti
     model = _learnt(docs, labels, options)
     if not model.fitted:
         return docs
-    return _scored(docs, model, "_quality").filter(F.col("_quality") >= options.threshold).select(*docs.columns)
+    name = spare(docs, "quality")
+    return _scored(docs, model, name).filter(F.col(name) >= options.threshold).select(*docs.columns)

@@ -24,6 +24,7 @@ from hazardmart.llm.common import (
     held_out_remainder,
     sampled_labels,
     slices,
+    spare,
     texts,
     with_score,
     word_hashes,
@@ -177,5 +178,6 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, options: ToxicityOptions
 
 def without_toxic(docs: DataFrame, labels: DataFrame, options: ToxicityOptions = ToxicityOptions()) -> DataFrame:
     """The documents below the threshold, with their own columns."""
-    scored = with_toxicity(docs, labels, "_toxicity", options)
-    return scored.filter(F.col("_toxicity") < options.threshold).select(*docs.columns)
+    name = spare(docs, "toxicity")
+    scored = with_toxicity(docs, labels, name, options)
+    return scored.filter(F.col(name) < options.threshold).select(*docs.columns)

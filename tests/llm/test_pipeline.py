@@ -2,6 +2,8 @@
 
 import numpy as np
 
+from pyspark.sql import functions as F
+
 import corpus_pipeline
 from hazardmart.llm.bpe_codec import codec
 from hazardmart.llm.byte_bpe import default_tokenizer
@@ -37,3 +39,19 @@ def test_run_is_repeatable(spark):
     ids = [sorted(row["doc_id"] for row in frame.collect()) for frame in (first, second)]
     assert ids[0] == ids[1] and len(ids[0]) > 0
     assert np.isfinite(len(ids[0]))
+
+
+def test_stages_keep_columns_that_bear_inner_names(spark):
+    docs = read(spark, SF_DIR, "documents")
+    names = [
+        "toxicity", "quality", "score", "cumulative", "uniform", "source_rate", "zero", "whole_text", "known_id", "node", "shares_id",
+        "several", "n_shingles", "component_id", "kept", "hash", "label", "_text", "_id", "_node",
+    ]
+    clashing = docs.select("*", *(F.lit(place).alias(name) for place, name in enumerate(names)))
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        after = stage(spark, clashing, SF_DIR)
+        assert after.columns == clashing.columns, name
+        assert all(tuple(row)[-len(names) :] == tuple(range(len(names))) for row in after.collect()), name
+        assert sorted(row["doc_id"] for row in after.collect()) == sorted(row["doc_id"] for row in stage(spark, docs, SF_DIR).collect())
+    encoded = corpus_pipeline.tokenize(spark, clashing, SF_DIR)
+    assert set(names) < set(encoded.columns) and encoded.count() == docs.count()
