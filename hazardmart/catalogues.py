@@ -7,6 +7,7 @@ from dataclasses import dataclass
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 # State spellings (cleaned text -> official name).
 STATES: dict[str, str | None] = {
@@ -105,3 +106,23 @@ class Catalogues:
             phenomena=catalogue_frame(spark, PHENOMENA),
             event_types=catalogue_frame(spark, EVENT_TYPES),
         )
+
+    @classmethod
+    def read(cls, spark: SparkSession, folder: str) -> Catalogues:
+        """Catalogues kept as Parquet tables ``states``, ``phenomena`` and ``event_types`` in a folder.
+
+        Each has the columns ``variante`` and ``canonico``, so that variants are added without code.
+        """
+        frames = {}
+        for name in ("states", "phenomena", "event_types"):
+            rows = spark.read.parquet(f"{folder}/{name}")
+            missing = {"variante", "canonico"} - set(rows.columns)
+            if missing:
+                raise ValueError(f"{folder}/{name} has no column {', '.join(sorted(missing))}")
+            frames[name] = rows.select(F.col("variante").cast("string"), F.col("canonico").cast("string"))
+        return cls(**frames)
+
+    def write(self, folder: str) -> None:
+        """Write the catalogues where :meth:`read` finds them."""
+        for name, rows in vars(self).items():
+            rows.write.parquet(f"{folder}/{name}")

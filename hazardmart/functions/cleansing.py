@@ -82,4 +82,20 @@ def coerce_year(text: Column) -> Column:
 
 def coerce_count(text: Column) -> Column:
     """Whole count, zero where the text holds no number."""
-    return F.coalesce(F.round(coerce_number(text)).try_cast("int"), F.lit(0))
+    return F.coalesce(coerce_whole(text), F.lit(0))
+
+
+def loss(text: Column, value: Column) -> Column:
+    """Why a text that says something became no ``value``; NULL if it did, or if it is blank.
+
+    ``no_number``: it is none, like ``SD``; ``unfit``: it is one, but too large for the target type or
+    spelled as the column does not allow, like a year with a fraction or a comma.
+    """
+    number = F.translate(strip(text), "$,", "").try_cast("double")
+    reason = F.when(text.rlike(NUMERIC) & number.isNotNull(), "unfit").otherwise("no_number")
+    return F.when(value.isNull() & text.isNotNull() & (strip(text) != ""), reason)
+
+
+def coerce_whole(text: Column) -> Column:
+    """Whole count, NULL where the text holds no number that fits."""
+    return F.round(coerce_number(text)).try_cast("int")

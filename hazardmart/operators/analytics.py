@@ -166,11 +166,11 @@ def pareto(events: DataFrame, top_percent: int = 80) -> DataFrame:
 
 
 def top_state_years(events: DataFrame, limit: int = 10) -> DataFrame:
-    """State-years with the most event rows."""
+    """State-years with the most events."""
     return (
         events.groupBy("estado", "anio")
         .agg(
-            F.count("*").alias("total_eventos"),
+            total("cantidad_eventos").alias("total_eventos"),
             F.sum(F.coalesce("municipios_afectados", F.lit(0)))
             .cast("bigint")
             .alias("municipios_afectados"),
@@ -194,9 +194,10 @@ def star_cube(events: DataFrame, limit: int = 20) -> DataFrame:
 
 
 def fact_totals(events: DataFrame) -> DataFrame:
-    """One row of grand totals."""
+    """One row of grand totals; consolidated events state in ``registros`` how many fact rows they are."""
+    records = F.sum("registros") if "registros" in events.columns else F.count("*")
     return events.agg(
-        F.count("*").alias("registros_fact"),
+        records.alias("registros_fact"),
         total("cantidad_eventos").alias("total_eventos"),
         F.sum(F.coalesce("municipios_afectados", F.lit(0)))
         .cast("bigint")

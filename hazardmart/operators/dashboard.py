@@ -81,6 +81,26 @@ def pareto_state_count(events: DataFrame, top_percent: int = 80) -> DataFrame:
     )
 
 
+# Names of the further results that every load stores.
+RESULTS = {
+    "res_top_estado_anio": lambda events, periods: analytics.top_state_years(events),
+    "res_totales_fact": lambda events, periods: analytics.fact_totals(events),
+    "res_cubo_top20": lambda events, periods: analytics.star_cube(events),
+    "res_kpi": lambda events, periods: kpi_cards(events),
+    "res_top5_crecimiento": top_states_by_growth,
+    "res_serie_anual": yearly_series,
+    "res_top5_total": top_states_total,
+    "res_crecimiento_fenomeno": growth_by_phenomenon,
+    "res_estados_pareto": lambda events, periods: pareto_state_count(events),
+    "res_periodos_estado": analytics.period_pivot,
+}
+
+
+def results(events: DataFrame, periods: Periods = PERIODS) -> dict[str, DataFrame]:
+    """Top lists, totals, cards and series over one flat event view, by table name."""
+    return {name: result(events, periods) for name, result in RESULTS.items()}
+
+
 def views(events: DataFrame, periods: Periods = PERIODS) -> dict[str, DataFrame]:
     """The five published analytics over one flat event view, by view name."""
     return {

@@ -12,11 +12,16 @@ from hazardmart.schemas import AMOUNT_SUM, EVENT_KEYS, MEASURES
 AMOUNTS = ["poblacion_afectada", "poblacion_atendida", "costo_total"]
 
 
-def consolidate(events: DataFrame, keys: Sequence[str] = tuple(EVENT_KEYS)) -> DataFrame:
-    """One row per key combination; ``cantidad_eventos`` counts the merged source events."""
+def consolidate(
+    events: DataFrame, keys: Sequence[str] = tuple(EVENT_KEYS), more: Sequence[str] = ()
+) -> DataFrame:
+    """One row per key combination; ``cantidad_eventos`` counts the merged source events.
+
+    ``more`` names further whole numbers to add up.
+    """
     sums = [
         F.sum(name).cast(AMOUNT_SUM if name in AMOUNTS else "bigint").alias(name)
-        for name in MEASURES
+        for name in [*MEASURES, *more]
     ]
     return events.groupBy(*keys).agg(*sums)
 

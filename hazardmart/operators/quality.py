@@ -107,15 +107,17 @@ def stack(frames: Iterable[DataFrame]) -> DataFrame:
 
 
 def quality_metrics(sources: Mapping[str, DataFrame], events: DataFrame) -> DataFrame:
-    """``(metric, value, texto)``: rows read, event rows, distinct members and measure totals.
+    """``(metric, value, texto)``: rows read, fact rows, distinct members and measure totals.
 
     Events are first reduced to their member combinations; the distinct counts then expand
-    those few rows instead of every event.
+    those few rows instead of every event. Consolidated events state in ``registros`` how many fact rows
+    each stands for.
     """
+    records = F.sum("registros") if "registros" in events.columns else F.count("*")
     distinct = {"estados": "estado", "fenomenos": "fenomeno", "tipos_evento": "tipo_evento"}
     sums = ["municipios_afectados", "poblacion_afectada", "poblacion_atendida", "costo_total"]
     per_member = events.groupBy(*distinct.values()).agg(
-        F.count("*").alias("registros_fact"), *[F.sum(name).alias(name) for name in sums]
+        records.alias("registros_fact"), *[F.sum(name).alias(name) for name in sums]
     )
     figures = per_member.agg(
         F.sum("registros_fact").cast(AMOUNT_SUM).alias("registros_fact"),
@@ -133,6 +135,22 @@ def quality_metrics(sources: Mapping[str, DataFrame], events: DataFrame) -> Data
     )
 
 
+def distinct_sketches(rows: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """One row with a mergeable sketch of the distinct non-null values of each column.
+
+    A sketch has a few kilobytes whatever the data, so those of all loads can be kept and united. Its
+    estimate is exact for few values and off by about 1.6 % (one standard deviation) for many.
+    """
+    return rows.agg(*[F.hll_sketch_agg(F.col(name).cast("string"), 12).alias(name) for name in columns])
+
+
+def distinct_estimates(sketches: DataFrame) -> DataFrame:
+    """``(columna, distintos)`` over the union of all rows of sketches, from one load or several."""
+    columns = sketches.columns
+    united = sketches.agg(*[F.hll_sketch_estimate(F.hll_union_agg(name)).alias(name) for name in columns])
+    return united.unpivot([], columns, "columna", "distintos")
+
+
 def integrity_nulls(events: DataFrame) -> DataFrame:
     """``(metric, value)``: NULLs per dimension column of the event table."""
     columns = ["estado", "anio", "fenomeno", "tipo_evento"]

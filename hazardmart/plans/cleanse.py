@@ -11,9 +11,17 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from hazardmart.catalogues import Catalogues
-from hazardmart.functions.cleansing import clean_money, clean_number, coerce_count, coerce_year
+from hazardmart.functions.cleansing import (
+    clean_money,
+    clean_number,
+    coerce_count,
+    coerce_whole,
+    coerce_year,
+    loss,
+)
 from hazardmart.operators.conform import conform_phenomenon, conform_state, keep_valid
 from hazardmart.schemas import AMOUNT, EVENTS
 
@@ -32,6 +40,15 @@ class SourceSpec:
     cost: str | None = None
     # Text before this mark names the phenomenon, the rest describes it.
     phenomenon_until: str | None = None
+    # The source's own row number and the date of the row's last change or publication.
+    row: str = "no"
+    updated: str = "ultima_fecha_actualizacion"
+
+    def columns(self) -> list[str]:
+        """The staging columns the source needs."""
+        measures = [self.municipalities, self.population, self.attended, self.cost]
+        named = [self.state, self.year, self.phenomenon, *filter(None, measures)]
+        return [*named, self.row, self.updated]
 
 
 # Staging columns of each source.
@@ -51,6 +68,7 @@ EMERGENCIES = SourceSpec(
     population="poblacion_afectada",
     attended="poblacion_atendida",
     cost="costo_total_declaratoria",
+    updated="fecha_publicacion_declaratoria_dof",
 )
 PREVENTION = SourceSpec(
     event_type="Preventivo",
@@ -60,13 +78,24 @@ PREVENTION = SourceSpec(
     population="personas_beneficiadas",
     cost="costo_total_mxn_peso",
     phenomenon_until=" (",
+    row="consecutivo",
+)
+
+# What a load keeps of a row besides the event: where it came from and which texts it lost.
+TRACE = T.StructType(
+    [
+        T.StructField("fila_origen", T.StringType()),
+        T.StructField("actualizado", T.StringType()),
+        T.StructField("perdidas", T.ArrayType(T.StringType())),
+    ]
 )
 
 
 def to_events(
-    raw: DataFrame, spec: SourceSpec, catalogues: Catalogues, keep: Sequence[str] = ()
+    raw: DataFrame, spec: SourceSpec, catalogues: Catalogues, keep: Sequence[str | Column] = ()
 ) -> DataFrame:
     """All rows of a source as events, valid state or not, plus the columns in ``keep``."""
+    kept = raw.select(*keep).columns
     phenomenon = F.col(spec.phenomenon)
     if spec.phenomenon_until:
         phenomenon = F.substring_index(phenomenon, spec.phenomenon_until, 1)
@@ -84,7 +113,43 @@ def to_events(
     )
     named = conform_state(parsed, "_state", "estado", catalogues.states)
     named = conform_phenomenon(named, "_phenomenon", "fenomeno", catalogues.phenomena)
-    return named.select(*keep, *EVENTS.fieldNames())
+    return named.select(*kept, *EVENTS.fieldNames())
+
+
+def lost_texts(spec: SourceSpec) -> Column:
+    """``column:reason`` of each staging column whose text became no value, as an array.
+
+    The counts come from the written rows, so a task that runs twice does not count twice.
+    """
+    parsed = {spec.year: coerce_year, spec.municipalities: coerce_whole}
+    parsed |= {spec.population: clean_number, spec.attended: clean_number, spec.cost: clean_money}
+    named = [
+        F.concat(F.lit(f"{column}:"), loss(F.col(column), parse(F.col(column))))
+        for column, parse in parsed.items()
+        if column
+    ]
+    return F.filter(F.array(*named), lambda text: text.isNotNull())
+
+
+def traced(spec: SourceSpec) -> list[Column]:
+    """The trace columns of a staging row, to be kept by :func:`to_events`."""
+    values = [F.col(spec.row), F.col(spec.updated), lost_texts(spec)]
+    return [value.alias(name) for value, name in zip(values, TRACE.fieldNames())]
+
+
+def loss_counts(events: DataFrame) -> DataFrame:
+    """``(tipo_evento, columna, motivo, n)``: texts that became no value, from traced events."""
+    lost = events.select("tipo_evento", F.explode("perdidas").alias("lost"))
+    return (
+        lost.groupBy("tipo_evento", "lost")
+        .agg(F.count("*").alias("n"))
+        .select(
+            "tipo_evento",
+            F.substring_index("lost", ":", 1).alias("columna"),
+            F.substring_index("lost", ":", -1).alias("motivo"),
+            "n",
+        )
+    )
 
 
 def clean_disasters(raw: DataFrame, catalogues: Catalogues, keep: Sequence[str] = ()) -> DataFrame:

@@ -1,7 +1,7 @@
 """The whole load: cleanse, reject, build the star, check it, publish it.
 
-Each load writes to a folder of its own and is published only after its checks passed, so a
-failed load leaves the previous one in place. The tables written in between also cut lineage:
+Each load has a name of its own, the last part of its folder, and is published only after its checks
+passed, so a failed load leaves the previous one in place (see ``sources.publication``). The tables written in between also cut lineage:
 a lost executor costs the running stage, not the load.
 
 The fact is scanned once for all published analytics: they are sums, so they are computed from
@@ -12,16 +12,17 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from hazardmart.catalogues import Catalogues
-from hazardmart.operators.dashboard import VIEWS, views
-from hazardmart.operators.grain import consolidate
+from hazardmart.operators.dashboard import RESULTS, VIEWS, results, views
+from hazardmart.operators.grain import AMOUNTS, consolidate
 from hazardmart.operators.keys import insert_if_absent
 from hazardmart.operators.quality import (
     DataQualityError,
+    distinct_sketches,
     duplicate_count,
     fact_checks,
     integrity_nulls,
@@ -31,9 +32,18 @@ from hazardmart.operators.quality import (
     require_zero,
     stack,
 )
+from hazardmart.operators.row_ids import with_row_ids
 from hazardmart.periods import PERIODS, YEARS, Periods, YearRange
-from hazardmart.plans.cleanse import DISASTERS, EMERGENCIES, PREVENTION, to_events
-from hazardmart.plans.events import ACCEPTED, with_verdict
+from hazardmart.plans.cleanse import (
+    DISASTERS,
+    EMERGENCIES,
+    PREVENTION,
+    TRACE,
+    loss_counts,
+    to_events,
+    traced,
+)
+from hazardmart.plans.events import ACCEPTED, with_latest, with_verdict
 from hazardmart.plans.star import (
     EVENT_COLUMN,
     EVENT_TYPES,
@@ -45,7 +55,10 @@ from hazardmart.plans.star import (
     member_sets,
 )
 from hazardmart.schemas import (
+    AMOUNT_SUM,
     DIMENSION_KEYS,
+    EVENT_ID,
+    EVENT_KEYS,
     EVENTS,
     FACT_KEYS,
     FACT_TABLE,
@@ -53,11 +66,13 @@ from hazardmart.schemas import (
     STAR_TABLES,
     TEXT_LENGTHS,
 )
-from hazardmart.sources.readers import read_parquet
-from hazardmart.sources.writers import publish, write_report, write_table
+from hazardmart.sources.landed import land
+from hazardmart.sources.publication import located, publish
+from hazardmart.sources.writers import write_report, write_table
 
 EVENT_FOLDER = "eventos_conformados"
 CUBE_FOLDER = "eventos_consolidados"
+SKETCH_FOLDER = "bocetos"
 REPORT_FOLDER = "reporte"
 
 
@@ -85,16 +100,17 @@ class Load:
 
 
 def _read_conformed(spark: SparkSession, folder: str) -> DataFrame:
-    schema = T.StructType([*EVENTS, T.StructField("verdict", T.StringType())])
-    return read_parquet(spark, f"{folder}/{EVENT_FOLDER}", schema)
+    named = [T.StructField(EVENT_ID, T.LongType()), T.StructField("verdict", T.StringType())]
+    schema = T.StructType([*EVENTS, *TRACE, *named])
+    return spark.read.schema(schema).parquet(located(folder, EVENT_FOLDER))
 
 
 def read_load(spark: SparkSession, folder: str) -> Load:
     conformed = _read_conformed(spark, folder)
-    tables = {name: spark.read.parquet(f"{folder}/{name}") for name in STAR_TABLES}
+    tables = {name: spark.read.parquet(located(folder, name)) for name in STAR_TABLES}
     return Load(
         folder=folder,
-        events=conformed.where(F.col("verdict") == ACCEPTED).drop("verdict"),
+        events=conformed.where(F.col("verdict") == ACCEPTED).select(*EVENTS.fieldNames()),
         rejected=conformed.where(F.col("verdict") != ACCEPTED),
         dimensions=Dimensions(*[tables[name] for name in DIMENSION_KEYS]),
         fact=tables[FACT_TABLE],
@@ -111,12 +127,16 @@ def run_load(
     consolidated: bool = False,
     previous: Load | None = None,
     database: str | None = None,
+    strict: bool = False,
+    latest_only: bool = False,
 ) -> Load:
     """Run one load into ``folder``, which must be new, and publish it.
 
     Without ``previous`` the dimensions are numbered afresh; with it, members the previous load
     knows keep their ids and new ones are appended. ``consolidated`` loads the fact with one row
     per state, year, phenomenon and type instead of one per declaration; all sums stay the same.
+    ``strict`` also rejects phenomena and types that the catalogues do not list. ``latest_only`` keeps
+    the row changed last (then the one with the highest row number) of each state, year and phenomenon.
     """
     spark = staging.disasters.sparkSession
     catalogues = catalogues or Catalogues.official(spark)
@@ -127,9 +147,12 @@ def run_load(
         sources.append((staging.projects, PREVENTION))
         types = EVENT_TYPES_WITH_PREVENTION
 
-    events = stack(to_events(raw, spec, catalogues) for raw, spec in sources)
-    judged = with_verdict(events, catalogues.states, years)
-    write_table(judged, f"{folder}/{EVENT_FOLDER}", partition_by="verdict", mode="error")
+    events = stack(to_events(raw, spec, catalogues, traced(spec)) for raw, spec in sources)
+    listed = (catalogues.phenomena, _types(catalogues, types)) if strict else ()
+    judged = with_verdict(with_row_ids(events, EVENT_ID), catalogues.states, years, *listed)
+    if latest_only:
+        judged = with_latest(land(judged, "judged"), LATEST_KEYS, _latest_first())
+    write_table(judged, located(folder, EVENT_FOLDER), partition_by="verdict", mode="error")
     accepted = (
         _read_conformed(spark, folder).where(F.col("verdict") == ACCEPTED).drop("verdict")
     )
@@ -142,22 +165,43 @@ def run_load(
         else _extend(previous.dimensions, accepted)
     )
     for name, rows in dimensions.tables().items():
-        write_table(rows, f"{folder}/{name}", mode="error")
-    written = Dimensions(*[spark.read.parquet(f"{folder}/{name}") for name in DIMENSION_KEYS])
+        write_table(rows, located(folder, name), mode="error")
+    written = Dimensions(*[spark.read.parquet(located(folder, name)) for name in DIMENSION_KEYS])
 
     # The year travels along as the partition column, so year filters prune folders.
-    grained = consolidate(accepted) if consolidated else accepted
-    fact = load_fact(grained, written, keep=["anio"])
-    write_table(fact, f"{folder}/{FACT_TABLE}", partition_by="anio", mode="error")
+    grained = accepted
+    if consolidated:
+        grained = with_row_ids(consolidate(accepted), EVENT_ID, unique_key=list(EVENT_KEYS))
+    fact = load_fact(grained, written, keep=[EVENT_ID, "anio"])
+    # One type for every grain: published views read the loads of one table alike.
+    wide = {name: F.col(name).cast(AMOUNT_SUM if name in AMOUNTS else "bigint") for name in MEASURES}
+    fact = fact.withColumns(wide)
+    write_table(fact, located(folder, FACT_TABLE), partition_by="anio", mode="error")
 
     load = read_load(spark, folder)
     validate(load)
     _write_analytics(load, periods)
-    _write_reports(load, staging)
-    publish(spark, folder, [*STAR_TABLES, *VIEWS], database)
+    _write_reports(load, staging, include_prevention)
+    publish(spark, folder, [*STAR_TABLES, *VIEWS, *RESULTS], database)
     return load
 
 
+LATEST_KEYS = ["estado", "anio", "fenomeno"]
+
+
+def _latest_first() -> list[Column]:
+    """A total order of the rows of a key; dates are ISO or day/month/year texts."""
+    changed = F.col("actualizado")
+    date = F.coalesce(changed.try_cast("date"), F.try_to_date(changed, "d/M/yyyy"))
+    number = F.col("fila_origen").try_cast("decimal(20,0)")
+    return [F.desc_nulls_last(date), F.desc_nulls_last(number), F.asc(EVENT_ID)]
+
+
+def _types(catalogues: Catalogues, declared: list[str]) -> DataFrame:
+    """The catalogue's types, of those that the load declares."""
+    return catalogues.event_types.where(F.col("canonico").isin(declared))
+
+
 def _check_catalogues(catalogues: Catalogues) -> None:
     """Refuse a catalogue that lists a variant twice: each event with it would be loaded twice."""
     frames = {
@@ -177,7 +221,10 @@ def validate(load: Load) -> None:
     """Check every declared constraint; raise before anything is published."""
     tables = load.dimensions.tables()
     by_key = {DIMENSION_KEYS[table][0]: rows for table, rows in tables.items()}
-    checks = [fact_checks(load.fact, by_key, list(MEASURES))]
+    checks = [
+        fact_checks(load.fact, by_key, list(MEASURES)),
+        duplicate_count(load.fact, [EVENT_ID], f"duplicate {EVENT_ID}"),
+    ]
     for table, rows in tables.items():
         id_column, natural_key = DIMENSION_KEYS[table]
         checks += [
@@ -190,30 +237,42 @@ def validate(load: Load) -> None:
     require_zero(stack(checks))
 
 
+def read_cube(load: Load) -> DataFrame:
+    """The fact's sums per state, year, phenomenon and type, and its rows as ``registros``."""
+    return load.fact.sparkSession.read.parquet(located(load.folder, CUBE_FOLDER))
+
+
 def _write_analytics(load: Load, periods: Periods) -> None:
     # Summed per surrogate key first, so that only the few consolidated rows look up names.
-    by_key = consolidate(load.fact, [*FACT_KEYS, "anio"])
+    counted = load.fact.withColumn("registros", F.lit(1).cast("bigint"))
+    by_key = consolidate(counted, [*FACT_KEYS, "anio"], more=["registros"])
     named = flat_events(by_key, load.dimensions)
-    write_table(named, f"{load.folder}/{CUBE_FOLDER}", mode="error")
-    cube = load.fact.sparkSession.read.parquet(f"{load.folder}/{CUBE_FOLDER}")
-    for name, result in views(cube, periods).items():
-        write_table(result, f"{load.folder}/{name}", mode="error")
+    write_table(named, located(load.folder, CUBE_FOLDER), mode="error")
+    cube = read_cube(load)
+    for name, result in {**views(cube, periods), **results(cube, periods)}.items():
+        write_table(result, located(load.folder, name), mode="error")
 
 
-def _write_reports(load: Load, staging: Staging) -> None:
+def _write_reports(load: Load, staging: Staging, include_prevention: bool) -> None:
+    # Every row of a loaded source is among the conformed ones; only those not loaded are read again.
+    conformed = _read_conformed(load.fact.sparkSession, load.folder)
+    names = {"desastres": DISASTERS, "emergencias": EMERGENCIES, "proyectos": PREVENTION}
     sources = {
-        "desastres": staging.disasters,
-        "emergencias": staging.emergencies,
-        "proyectos": staging.projects,
+        name: conformed.where(F.col("tipo_evento") == spec.event_type) for name, spec in names.items()
     }
+    if not include_prevention:
+        sources["proyectos"] = staging.projects
     reports = {
-        "calidad": quality_metrics(sources, load.events),
+        "calidad": quality_metrics(sources, read_cube(load).withColumnRenamed("tipo_fenomeno", "fenomeno")),
         # Over all conformed rows: the accepted ones cannot hold a null by their verdict.
-        "integridad": integrity_nulls(_read_conformed(load.fact.sparkSession, load.folder)),
+        "integridad": integrity_nulls(conformed),
         "rechazos": load.rejected.groupBy("tipo_evento", "verdict").count(),
+        "perdidas": loss_counts(conformed),
     }
     for name, rows in reports.items():
-        write_report(rows, f"{load.folder}/{REPORT_FOLDER}/{name}")
+        write_report(rows, located(load.folder, f"{REPORT_FOLDER}_{name}"))
+    sketches = distinct_sketches(load.events, ["estado", "fenomeno", "tipo_evento"])
+    write_table(sketches, located(load.folder, SKETCH_FOLDER), mode="error")
 
 
 def _extend(existing: Dimensions, events: DataFrame) -> Dimensions:

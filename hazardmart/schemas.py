@@ -71,6 +71,7 @@ EVENT_KEYS = {
     "fenomeno": T.StringType(),
     "tipo_evento": T.StringType(),
 }
+EVENT_ID = "id_evento"
 # The nine columns every cleansed source is reduced to.
 EVENTS = T.StructType(
     [T.StructField(name, kind) for name, kind in {**EVENT_KEYS, **MEASURES}.items()]

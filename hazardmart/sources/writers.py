@@ -1,10 +1,10 @@
-"""Table sinks and publication."""
+"""Table sinks."""
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Mapping
+from collections.abc import Mapping
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 
 
 def write_table(
@@ -42,21 +42,3 @@ def write_jdbc(
 def write_report(rows: DataFrame, path: str) -> None:
     """Metrics as JSON lines in one file; for reports, whose rows are a fixed handful."""
     rows.coalesce(1).write.json(path)
-
-
-def publish(
-    spark: SparkSession, folder: str, tables: Iterable[str], database: str | None = None
-) -> None:
-    """Point the views called ``tables`` at the tables of one finished load.
-
-    Replacing a view is atomic, so readers see the old load or the new one, never a mix. With a
-    ``database`` the views are kept in the catalog, otherwise in the session.
-    """
-    for table in tables:
-        if database is None:
-            spark.read.parquet(f"{folder}/{table}").createOrReplaceTempView(table)
-        else:
-            spark.sql(
-                f"CREATE OR REPLACE VIEW {database}.{table} AS "
-                f"SELECT * FROM parquet.`{folder}/{table}`"
-            )

@@ -207,6 +207,29 @@ def money_of(amount: str) -> str:
 PRICE = "CAST(o_totalprice AS DECIMAL(18,2))"
 ZERO = "CAST(0 AS DECIMAL(18,2))"
 
+
+
+def content_id(*columns: str) -> str:
+    """63 bits of the digest of the columns' texts, each after its length."""
+    texts = [f"COALESCE(length({c}::VARCHAR)::VARCHAR || ':' || {c}::VARCHAR, '-')" for c in columns]
+    return f"(('0x' || md5({' || '.join(texts)})[1:16])::UBIGINT % 9223372036854775808)::BIGINT"
+
+
+def losses(event_type: str, column: str, source: str, cases: dict[str, str]) -> str:
+    """Rows ``(tipo_evento, columna, motivo, n)`` of a staging column: ``cases`` maps reasons to conditions."""
+    return " UNION ALL ".join(
+        f"SELECT '{event_type}' AS tipo_evento, '{column}' AS columna, '{reason}' AS motivo, "
+        f"CAST(COUNT(*) AS BIGINT) AS n FROM {source} WHERE {condition} HAVING COUNT(*) > 0"
+        for reason, condition in cases.items()
+    )
+
+
+NO_YEAR = {"no_number": "o_orderkey % 9 = 5", "unfit": "o_orderkey % 9 = 4"}
+NO_COUNT = {"no_number": "o_orderkey % 5 = 4"}
+NO_AMOUNT = {"no_number": "o_orderkey % 9 IN (3, 4, 7)"}
+LARGE_COUNT = {"no_number": "o_orderkey % 5 = 4 AND o_orderkey % 7 <> 0", "unfit": "o_orderkey % 7 = 0"}
+DECLARED_AS = "(SELECT f.o_orderkey FROM orders f JOIN customer ON c_custkey = o_custkey WHERE o_orderstatus = '{}')"
+
 DISASTERS = f"""
     SELECT o_orderkey, estado, {year_of("anio")} AS anio,
            {phenomenon_of("tipo_fenomeno")} AS fenomeno, 'Desastre' AS tipo_evento,
@@ -253,7 +276,7 @@ KEYED = f"""
     kinds AS (SELECT fenomeno, row_number() OVER (ORDER BY fenomeno) AS id
               FROM base WHERE fenomeno IS NOT NULL GROUP BY fenomeno),
     fact AS (
-        SELECT o_orderkey, CAST(states.id AS INTEGER) AS id_estado,
+        SELECT {content_id("o_orderkey")} AS id_evento, o_orderkey, CAST(states.id AS INTEGER) AS id_estado,
                CAST(years.id AS INTEGER) AS id_tiempo, CAST(kinds.id AS INTEGER) AS id_fenomeno,
                CASE tipo_evento WHEN 'Desastre' THEN 1 ELSE 2 END AS id_tipo_evento,
                municipios_afectados, poblacion_afectada, poblacion_atendida, costo_total,
@@ -445,6 +468,57 @@ ORACLE: dict[str, str] = {
         FROM declared GROUP BY ALL
     """,
     "fact_load": f"WITH {KEYED} SELECT * FROM fact",
+    "fact_row_ids": over_flat(
+        f"""
+        SELECT estado, anio, tipo_fenomeno, tipo_evento, municipios_afectados,
+               {content_id("estado", "anio", "tipo_fenomeno", "tipo_evento", "municipios_afectados", "equal")} AS id_evento
+        FROM (SELECT *, row_number() OVER (
+                  PARTITION BY estado, anio, tipo_fenomeno, tipo_evento, municipios_afectados
+                  ORDER BY o_orderkey) - 1 AS equal FROM flat)
+        """
+    ),
+    "parse_losses": " UNION ALL ".join(
+        [
+            losses("Desastre", "anio", DECLARED_AS.format("F"), NO_YEAR),
+            losses("Desastre", "numero_municipios_corroborados", DECLARED_AS.format("F"), LARGE_COUNT),
+            losses("Emergencia", "anio_ocurrencia_evento", DECLARED_AS.format("O"), NO_YEAR),
+            losses("Emergencia", "numero_municipios_corroborados", DECLARED_AS.format("O"), NO_COUNT),
+            losses("Emergencia", "poblacion_afectada", DECLARED_AS.format("O"), NO_AMOUNT),
+            losses("Emergencia", "poblacion_atendida", DECLARED_AS.format("O"), NO_AMOUNT),
+            losses(
+                "Emergencia",
+                "costo_total_declaratoria",
+                DECLARED_AS.format("O"),
+                {"no_number": "o_orderkey % 7 IN (1, 3, 5)"},
+            ),
+        ]
+    ),
+    "fact_verdicts_strict": f"""
+        WITH {DECLARED}
+        SELECT CASE WHEN o_orderkey % 8 >= 6 THEN 'unknown_state'
+                    WHEN anio IS NULL OR anio NOT BETWEEN 1996 AND 2001 THEN 'year_out_of_range'
+                    WHEN fenomeno IS NULL THEN 'null_phenomenon'
+                    WHEN fenomeno NOT IN ('Automóvil', 'Edificio', 'Mueble') THEN 'unknown_phenomenon'
+                    ELSE 'accepted' END AS verdict,
+               CAST(COUNT(*) AS BIGINT) AS n
+        FROM declared WHERE tipo_evento = 'Emergencia' GROUP BY ALL
+    """,
+    "totals_by_grain": over_flat(
+        f"""
+        SELECT unnest(['detalle', 'consolidado']) AS grano, * FROM (
+            SELECT CAST(COUNT(*) AS BIGINT) AS registros_fact, CAST(COUNT(*) AS BIGINT) AS total_eventos,
+                   CAST(SUM(municipios_afectados) AS BIGINT) AS municipios_afectados,
+                   {whole("SUM(poblacion_afectada)")} AS poblacion_afectada,
+                   CAST(SUM(costo_total) AS DECIMAL(38,2)) AS costo_total
+            FROM flat)
+        """
+    ),
+    "distinct_estimates": over_flat(
+        " UNION ALL ".join(
+            f"SELECT '{column}' AS columna, CAST(COUNT(DISTINCT {column}) AS BIGINT) AS distintos FROM flat"
+            for column in ("estado", "tipo_fenomeno", "anio")
+        )
+    ),
     "fact_grain": over_flat(
         """
         SELECT estado, anio, tipo_fenomeno, tipo_evento,
@@ -510,7 +584,8 @@ ORACLE: dict[str, str] = {
     + checks("orders", {"o_custkey": "o_custkey NOT IN (SELECT c_custkey FROM customer)"})
     + " UNION ALL "
     + checks("lineitem", {"l_orderkey": "l_orderkey NOT IN (SELECT o_orderkey FROM orders)"}),
-    "dq_duplicate_keys": " UNION ALL ".join(
+    "dq_duplicate_keys": "SELECT 'id_evento' AS \"check\", CAST(0 AS BIGINT) AS n UNION ALL "
+    + " UNION ALL ".join(
         f"""SELECT '{name}' AS "check", CAST(COUNT(*) AS BIGINT) AS n
             FROM (SELECT {columns} FROM {source} GROUP BY ALL HAVING COUNT(*) > 1)"""
         for name, source, columns in [

@@ -9,9 +9,10 @@ from pyspark.sql import functions as F
 
 from hazardmart.functions import cleansing
 from hazardmart.operators import analytics, conform, dashboard, grain, keys, quality
+from hazardmart.operators.row_ids import with_row_ids
 from hazardmart.plans import cleanse, star
 from hazardmart.plans.events import build_events, with_verdict
-from hazardmart.schemas import AMOUNT, FACT_KEYS, MEASURES
+from hazardmart.schemas import AMOUNT, EVENT_ID, FACT_KEYS, MEASURES
 from hazardmart.sources.landed import land
 from hazardmart.trial import staging
 from hazardmart.trial.tables import (
@@ -235,8 +236,57 @@ def fact_verdicts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def fact_load(spark: SparkSession, sf_dir: str) -> DataFrame:
-    base = _landed_base(spark, sf_dir)
-    return star.load_fact(base, star.build_dimensions(base), keep=["o_orderkey"])
+    """With ids that follow from the order key; see ``fact_row_ids`` for rows without a key."""
+    base = with_row_ids(_landed_base(spark, sf_dir), EVENT_ID, unique_key=["o_orderkey"])
+    return star.load_fact(base, star.build_dimensions(base), keep=[EVENT_ID, "o_orderkey"])
+
+
+def fact_row_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Declarations without any key: equal ones get different ids."""
+    declared = events(spark, sf_dir).select("estado", "anio", "tipo_fenomeno", "tipo_evento", "municipios_afectados")
+    return with_row_ids(declared, EVENT_ID)
+
+
+def parse_losses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Texts that became no number; some disasters count more municipalities than an ``int`` holds."""
+    known = staging.catalogues(spark, sf_dir)
+    disasters = staging.disasters(spark, sf_dir)
+    large = F.when(F.col("o_orderkey") % 7 == 0, "99999999999").otherwise(F.col("numero_municipios_corroborados"))
+    declared = {
+        cleanse.DISASTERS: disasters.withColumn("numero_municipios_corroborados", large),
+        cleanse.EMERGENCIES: staging.emergencies(spark, sf_dir),
+    }
+    traced = [
+        cleanse.to_events(rows, spec, known, [cleanse.lost_texts(spec).alias("perdidas")])
+        for spec, rows in declared.items()
+    ]
+    return cleanse.loss_counts(quality.stack(traced))
+
+
+def fact_verdicts_strict(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Verdicts where unlisted phenomena are refused as well."""
+    known = staging.catalogues(spark, sf_dir)
+    emergencies = cleanse.to_events(staging.emergencies(spark, sf_dir), cleanse.EMERGENCIES, known)
+    judged = with_verdict(emergencies, known.states, YEARS, known.phenomena, known.event_types)
+    return judged.groupBy("verdict").agg(F.count("*").alias("n"))
+
+
+def totals_by_grain(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Grand totals of the declarations and of their consolidation."""
+    detail = events(spark, sf_dir).withColumn("registros", F.lit(1).cast("bigint"))
+    cube = grain.consolidate(detail, ["estado", "anio", "tipo_fenomeno", "tipo_evento"], more=["registros"])
+    return quality.stack(
+        analytics.fact_totals(rows).withColumn("grano", F.lit(name))
+        for name, rows in {"detalle": detail, "consolidado": cube}.items()
+    )
+
+
+def distinct_estimates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Distinct values from sketches, one per declared type, united."""
+    named = orders_with_names(spark, sf_dir)
+    columns = ["estado", "tipo_fenomeno", "anio"]
+    parts = [named.where(F.col("tipo_evento") == status) for status in ("F", "O", "P")]
+    return quality.distinct_estimates(quality.stack(quality.distinct_sketches(part, columns) for part in parts))
 
 
 def fact_grain(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -315,6 +365,7 @@ def dq_duplicate_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
             quality.duplicate_count(orders, ["o_orderkey"], "o_orderkey"),
             quality.duplicate_count(orders, ["o_custkey"], "o_custkey"),
             quality.duplicate_count(lineitem, ["l_orderkey", "l_linenumber"], "l_line"),
+            quality.duplicate_count(fact_row_ids(spark, sf_dir), [EVENT_ID], EVENT_ID),
         ]
     )
 
@@ -385,6 +436,11 @@ QUERIES: dict[str, Query] = {
         fact_base,
         fact_verdicts,
         fact_load,
+        fact_row_ids,
+        parse_losses,
+        fact_verdicts_strict,
+        totals_by_grain,
+        distinct_estimates,
         fact_grain,
         fact_with_prevention,
         dedup_latest,

@@ -10,7 +10,7 @@ from hazardmart.catalogues import Catalogues
 from hazardmart.operators import analytics, dashboard, grain, quality
 from hazardmart.plans import cleanse, star
 from hazardmart.plans.events import build_events, with_verdict
-from hazardmart.plans.load import Staging, read_load, run_load, validate
+from hazardmart.plans.load import Staging, read_cube, read_load, run_load, validate
 from hazardmart.schemas import (
     DISASTER_STAGING,
     EMERGENCY_STAGING,
@@ -19,9 +19,12 @@ from hazardmart.schemas import (
     MEASURES,
     PROJECT_STAGING,
     STAR_TABLES,
+    text_schema,
 )
-from hazardmart.sources.readers import read_csv, read_parquet
-from hazardmart.sources.writers import publish, write_table
+from hazardmart.sources.readers import csv_rejects, read_csv, read_parquet
+from hazardmart.sources import publication
+from hazardmart.sources.publication import located, publish, published
+from hazardmart.sources.writers import write_table
 from tests.plans import plan_of
 
 DISASTERS = [
@@ -189,6 +192,101 @@ def test_reload_keeps_ids_and_numbers_new_members_last(staging, load, tmp_path):
     assert rows_of(more.dimensions.tipo_evento)[2:] == [(3, "Preventivo")]
 
 
+def test_ids_follow_rows_not_layout(spark, staging, load, tmp_path):
+    """A repeated declaration, other partitions and another order: old rows keep their ids."""
+    more = staging.disasters.unionByName(staging.disasters.limit(1)).repartition(3, "anio").orderBy(F.desc("anio"))
+    again = run_load(Staging(more, staging.emergencies.repartition(2), staging.projects), f"{tmp_path}/again")
+    ids = {row["id_evento"] for row in load.fact.collect()}
+    new = {row["id_evento"] for row in again.fact.collect()}
+    assert len(ids) == 5 and len(new) == 6 and ids < new
+    twice = again.fact.unionByName(again.fact.limit(1))
+    broken = type(load)(again.folder, again.events, again.rejected, again.dimensions, twice)
+    with pytest.raises(quality.DataQualityError, match="duplicate id_evento: 1"):
+        validate(broken)
+
+
+def test_latest_only_strict_and_catalogues_from_a_folder(spark, staging, tmp_path):
+    Catalogues.official(spark).write(f"{tmp_path}/catalogues")
+    known = Catalogues.read(spark, f"{tmp_path}/catalogues")
+    columns = ["no", "entidad_federativa", "anio", "tipo_fenomeno", "ultima_fecha_actualizacion"]
+    rows = [
+        ("1", "Chiapas", "2018", "Geologico", "2024-01-05"),
+        ("2", "Chiapas", "2018", "Geologico", "31/12/2024"),
+        ("9", "Chiapas", "2018", "Geologico", "2024-12-31"),
+        ("9", "Chiapas", "2018", "Geologico", "2024-12-31"),
+        ("3", "Chiapas", "2018", "Geologico", None),
+        ("4", "Oaxaca", "2019", "Volcan inactivo", "x"),
+    ]
+    disasters = staged(spark, DISASTER_STAGING, columns, rows)
+    load = run_load(
+        Staging(disasters, staging.emergencies, staging.projects),
+        f"{tmp_path}/latest",
+        catalogues=known,
+        strict=True,
+        latest_only=True,
+    )
+    verdicts = {row["verdict"]: row["count"] for row in load.rejected.groupBy("verdict").count().collect()}
+    assert verdicts == {"superseded": 4, "unknown_phenomenon": 1}
+    kept = spark.read.parquet(located(load.folder, "eventos_conformados"))
+    kept = kept.where("verdict = 'accepted' AND tipo_evento = 'Desastre'").collect()
+    assert [(row["fila_origen"], row["actualizado"]) for row in kept] == [("9", "2024-12-31")]
+    assert load.fact.count() == 3
+
+
+def test_catalogue_without_its_columns_is_refused(spark, tmp_path):
+    spark.createDataFrame([("A", "B")], "variant string, canonico string").write.parquet(f"{tmp_path}/states")
+    with pytest.raises(ValueError, match="no column variante"):
+        Catalogues.read(spark, str(tmp_path))
+
+
+def test_losses_are_reported(spark, load):
+    losses = spark.read.json(located(load.folder, "reporte_perdidas")).collect()
+    assert {(row["tipo_evento"], row["columna"], row["motivo"], row["n"]) for row in losses} == {
+        ("Desastre", "anio", "no_number", 1),
+        ("Desastre", "numero_municipios_corroborados", "no_number", 1),
+        ("Emergencia", "poblacion_atendida", "no_number", 1),
+        ("Emergencia", "poblacion_afectada", "no_number", 1),
+        ("Emergencia", "costo_total_declaratoria", "no_number", 1),
+    }
+
+
+def test_stored_results_and_both_grains(spark, staging, load):
+    detail, cube = load.flat(), read_cube(load)
+    for name, result in dashboard.results(detail).items():
+        assert rows_of(spark.read.parquet(located(load.folder, name))) == rows_of(result), name
+    for analytic in (analytics.top_state_years, analytics.fact_totals, analytics.star_cube):
+        assert rows_of(analytic(cube)) == rows_of(analytic(detail))
+
+
+def test_an_interrupted_publication_shows_one_load_only(spark, staging, load, tmp_path, monkeypatch):
+    tables = [*STAR_TABLES, *dashboard.VIEWS]
+    root = f"{tmp_path}/loads"
+    for name in ("old", "new"):
+        for table in tables:
+            rows = spark.read.parquet(located(load.folder, table))
+            write_table(rows.limit(1 if name == "old" else 2), located(f"{root}/{name}", table))
+    publish(spark, f"{root}/old", tables)
+    whole = {table: spark.read.parquet(located(load.folder, table)).count() for table in tables}
+    shown = {table: spark.table(table).count() for table in tables}
+    assert shown == {table: min(n, 1) for table, n in whole.items()}
+    assert published(spark, root) == f"{root}/old"
+    assert spark.table("dim_estado").columns == ["id_estado", "estado"]
+
+    def stop(*_):
+        raise OSError("lost")
+
+    with monkeypatch.context() as broken:
+        broken.setattr(publication, "_append", stop)
+        with pytest.raises(OSError, match="lost"):
+            publish(spark, f"{root}/new", tables)
+    assert {table: spark.table(table).count() for table in tables} == shown
+    publish(spark, f"{root}/new", tables)
+    assert {table: spark.table(table).count() for table in tables} == {table: min(n, 2) for table, n in whole.items()}
+    assert "PartitionFilters: [isnotnull(load" in plan_of(spark.table(FACT_TABLE))
+    publish(spark, f"{root}/old", tables)
+    assert {table: spark.table(table).count() for table in tables} == shown
+
+
 def test_broken_load_is_not_published(spark, staging, load, tmp_path):
     publish(spark, load.folder, STAR_TABLES)
     negative = staging.emergencies.withColumn("poblacion_afectada", F.lit("-5"))
@@ -218,17 +316,17 @@ def test_published_database_views(spark, load):
 
 def test_stored_analytics_equal_live_ones(spark, load):
     for name, result in dashboard.views(load.flat()).items():
-        assert rows_of(spark.read.parquet(f"{load.folder}/{name}")) == rows_of(result)
+        assert rows_of(spark.read.parquet(located(load.folder, name))) == rows_of(result)
 
 
 def test_reports_are_written(spark, load):
-    rejected = spark.read.json(f"{load.folder}/reporte/rechazos")
+    rejected = spark.read.json(located(load.folder, "reporte_rechazos"))
     assert {(row["verdict"], row["count"]) for row in rejected.collect()} == {
         ("unknown_state", 2),
         ("year_out_of_range", 3),
         ("null_phenomenon", 1),
     }
-    metrics = spark.read.json(f"{load.folder}/reporte/calidad")
+    metrics = spark.read.json(located(load.folder, "reporte_calidad"))
     assert metrics.where("metric = 'leidos_proyectos'").collect()[0]["texto"] == "3"
 
 
@@ -307,6 +405,37 @@ def test_csv_with_quoted_commas_and_line_breaks(spark, tmp_path):
     assert cleaned[0]["costo_total"] == Decimal("24613344.00")
 
 
+def test_records_that_do_not_fit_are_kept_apart(spark, tmp_path):
+    schema = text_schema("a b c")
+    (tmp_path / "one.csv").write_text('a,b,c\n1,2,3\n4,5\n6,7,8,9\n"x\ny",,z\n', encoding="utf-8")
+    (tmp_path / "two.csv").write_text("a,b,c\n7,8,9\nlonely\n", encoding="utf-8")
+    rows = read_csv(spark, str(tmp_path), schema)
+    assert rows_of(rows) == [("1", "2", "3"), ("7", "8", "9"), ("x\ny", None, "z")]
+    assert rows.count() == 3 and sorted(row["c"] for row in rows.select("c").collect()) == ["3", "9", "z"]
+    rejects = csv_rejects(spark, str(tmp_path), schema)
+    assert rows_of(rejects) == [("one.csv", "4,5"), ("one.csv", "6,7,8,9"), ("two.csv", "lonely")]
+    counted = rejects.groupBy("archivo").count()
+    assert rows_of(counted) == [("one.csv", 2), ("two.csv", 1)]
+
+
+def test_a_missing_parquet_column_is_refused_if_needed(spark, tmp_path):
+    schema = text_schema("a b")
+    spark.createDataFrame([("1",)], "a string").write.parquet(f"{tmp_path}/t")
+    with pytest.raises(ValueError, match="no column b"):
+        read_parquet(spark, f"{tmp_path}/t", schema)
+    assert rows_of(read_parquet(spark, f"{tmp_path}/t", schema, required=["a"])) == [("1", None)]
+
+
+def test_sketches_of_loads_can_be_united(spark):
+    one = spark.range(0, 30_000).select(F.col("id").cast("string").alias("k"), F.lit("x").alias("few"))
+    other = spark.range(20_000, 50_000).select(F.col("id").cast("string").alias("k"), F.lit("y").alias("few"))
+    parts = [quality.distinct_sketches(rows, ["k", "few"]) for rows in (one, other)]
+    united = dict(rows_of(quality.distinct_estimates(quality.stack(parts))))
+    whole = dict(rows_of(quality.distinct_estimates(quality.distinct_sketches(one.union(other), ["k", "few"]))))
+    assert united["few"] == whole["few"] == 2
+    assert abs(united["k"] - 50_000) < 5 * 0.016 * 50_000 and abs(united["k"] - whole["k"]) < 0.05 * 50_000
+
+
 def test_partitioned_parquet_round_trip(spark, staging, tmp_path):
     path = f"{tmp_path}/staging"
     write_table(staging.disasters, path, partition_by="anio")
