@@ -15,8 +15,8 @@ EQUAL_ROWS = 65_536
 def content_id(columns: Sequence[str | Column]) -> Column:
     """63 bits of a digest of the columns' texts; lengths keep apart what concatenation would mix.
 
-    Among n different contents about n * n / 2**64 pairs share an id, so a billion rows are safe
-    and a duplicate check tells beyond.
+    Among n different contents about n * n / 2**64 pairs share an id: 0.05 for a billion rows. The load
+    checks for duplicates.
     """
     texts = [(F.col(column) if isinstance(column, str) else column).cast("string") for column in columns]
     marked = [F.coalesce(F.concat(F.length(text).cast("string"), F.lit(":"), text), F.lit("-")) for text in texts]
