@@ -38,10 +38,12 @@ NOT_SHOWN = re.compile(r"(?:^|[;\s])display\s*:\s*none", re.IGNORECASE)
 MAIN_STEP = re.compile(r"(?:^|\t)(?:article|main)(?:$|[.\t])")
 NAME_PARTS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|\d+")
 
-RAW = frozenset("script style noscript template textarea title iframe svg math object select".split())
+# Content without markup of its own, which ends with the page if nothing else ends it; and elements passed over whole.
+RAW = frozenset("script style template textarea title iframe".split())
+PASSED = frozenset("noscript svg object select".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 INLINE = frozenset(
-    "a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q s samp small span strike strong sub sup time tt u var wbr".split()
+    "a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark math mfrac mi mn mo mrow mstyle msub msup mtext q s samp small span strike strong sub sup time tt u var wbr".split()
 )
 # A start tag in the first set ends an open element in the second, if that is inside the third.
 ENDS = {
@@ -208,8 +210,10 @@ def _step(tag: str, attributes: dict[str, str]) -> str:
 def parse(source: str) -> Page:
     """Text blocks and opened elements of a page; any string is accepted."""
     page = Page()
-    # Open elements: tag, path, innermost marked element, link, in article or main.
-    stack: list[tuple[str, tuple[str, ...], int, bool, bool]] = [("", (), -1, False, False)]
+    # Open elements: tag, path, innermost marked element, link, in article or main, place of the innermost block.
+    stack: list[tuple[str, tuple[str, ...], int, bool, bool, int]] = [("", (), -1, False, False, 0)]
+    # By tag, the places of its open elements: no tag has to walk the stack.
+    places: dict[str, list[int]] = defaultdict(list)
     marked: list[Marked] = []
     parts: list[str] = []
     linked = 0
@@ -219,20 +223,26 @@ def parse(source: str) -> Page:
         text = " ".join(html.unescape("".join(parts)).split())
         parts.clear()
         if text:
-            _, path, mark, _, in_main = next(entry for entry in reversed(stack) if entry[0] not in INLINE)
+            _, path, mark, _, in_main, _ = stack[stack[-1][5]]
             page.blocks.append(Block(path, text, min(linked, len(text)), mark, in_main))
         linked = 0
 
+    def innermost(tags) -> int:
+        return max((places[tag][-1] for tag in tags if places.get(tag)), default=0)
+
+    def close_from(depth: int) -> None:
+        for entry in stack[depth:]:
+            places[entry[0]].pop()
+        del stack[depth:]
+
     def close_until(tags, scope) -> None:
-        for depth in range(len(stack) - 1, 0, -1):
-            if stack[depth][0] in tags:
-                close_block()
-                del stack[depth:]
-                return
-            if stack[depth][0] in scope:
-                return
+        depth = innermost(tags)
+        if depth and depth >= innermost(scope):
+            close_block()
+            close_from(depth)
 
     position = 0
+    endless: set[str] = set()
     while match := MARKUP.match(source, position):
         position = match.end()
         closing, tag, attributes, closing2, tag2, attributes2, text = match.groups()
@@ -245,21 +255,23 @@ def parse(source: str) -> Page:
         if not tag:
             continue
         if closing:
-            if tag == "p" and not any(entry[0] == "p" for entry in stack):
+            depth = innermost((tag,))
+            if not depth and tag == "p" or depth and stack[-1][5] >= depth:
                 close_block()
-            for depth in range(len(stack) - 1, 0, -1):
-                if stack[depth][0] == tag:
-                    if any(entry[0] not in INLINE for entry in stack[depth:]):
-                        close_block()
-                    del stack[depth:]
-                    break
+            if depth:
+                close_from(depth)
             continue
-        if tag in RAW:
-            if tag not in INLINE and tag not in ("svg", "math"):
+        if tag in RAW or tag in PASSED:
+            if tag != "svg":
                 close_block()
-            if not attributes.endswith("/"):
-                end = re.compile(rf"</{re.escape(tag)}\s*[^>]*>", re.IGNORECASE).search(source, position)
-                position = end.end() if end else len(source)
+            if not attributes.endswith("/") and tag not in endless:
+                end = re.compile(rf"</{re.escape(tag)}(?=[\s/>])[^>]*>", re.IGNORECASE).search(source, position)
+                if end:
+                    position = end.end()
+                elif tag in RAW:
+                    position = len(source)
+                else:
+                    endless.add(tag)
             continue
         if tag in ENDS:
             close_until(*ENDS[tag])
@@ -269,7 +281,7 @@ def parse(source: str) -> Page:
             close_block()
         if tag in VOID or attributes.endswith("/"):
             continue
-        _, path, mark, link, in_main = stack[-1]
+        _, path, mark, link, in_main, block = stack[-1]
         known = _attributes(attributes)
         found = _junk(tag, known, in_main)
         if found and (mark < 0 or marked[mark].depth < MARKED_DEPTH):
@@ -287,7 +299,9 @@ def parse(source: str) -> Page:
             if len(path) < 64:  # deeper elements share their ancestor's path
                 path = (*path, _step(tag, known))
             page.opened[path] += 1
-        stack.append((tag, path, mark, link or tag == "a", in_main))
+            block = len(stack)
+        places[tag].append(len(stack))
+        stack.append((tag, path, mark, link or tag == "a", in_main, block))
     close_block()
     if marked:
         _keep_main(marked, page.blocks)

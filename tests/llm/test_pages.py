@@ -2,6 +2,10 @@
 
 import html
 import re
+import time
+
+import pytest
+
 
 from hazardmart.llm.common import read
 from hazardmart.llm.page_template import main_text, parse
@@ -151,3 +155,19 @@ def test_main_path_counts_only_where_it_holds_the_running_text(spark):
     rows = [(i, url, source.replace(text(-50), text(-50)[:100])) for i, url, source in rows]
     found = {r["page_id"]: r["text"] for r in main_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
     assert found == expected
+
+
+@pytest.mark.parametrize(
+    "hostile",
+    ["<span>" * 20_000 + "x</p>" * 20_000, "<i>" * 20_000 + "</x>" * 20_000, "<p><table>" + "<span>" * 20_000 + "<hr>" * 20_000, "<svg>" * 20_000],
+)
+def test_odd_nesting_takes_time_in_proportion(hostile):
+    start = time.process_time()
+    parse(hostile)
+    assert time.process_time() - start < 2
+
+
+def test_formulas_stay_and_endless_elements_swallow_nothing():
+    page = parse("<article><p>a <math><mi>x</mi></math> b</p><svg><p>rest</p><titlex>c</titlex></article>")
+    assert [block.text for block in page.blocks] == ["a x b", "rest", "c"]
+    assert [block.text for block in parse("<p>a<title>b</titlex>c</title>d").blocks] == ["a", "d"]
