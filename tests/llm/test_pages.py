@@ -6,7 +6,6 @@ import time
 
 import pytest
 
-
 from hazardmart.llm.common import read
 from hazardmart.llm.page_template import main_text, parse
 from hazardmart.llm.queries import RULES
