@@ -217,3 +217,43 @@ def rebuilt_trie(conversations: DataFrame) -> DataFrame:
         "conv_id", "depth", "parent_conv_id", "n_convs", "n_children", "n_leaves", "saved_tokens",
         F.coalesce("ends_sha256", F.lit(hashlib.sha256().hexdigest())).alias("ends_sha256"),
     )
+
+
+def oracle() -> str:
+    """``rebuilt_trie`` as SQL: every prefix as a list, crc32 bit by bit."""
+    step = "list_reduce(range(8), lambda c, i: xor(c >> 1, (c & 1) * 3988292384), xor(crc, byte))"
+    codes = "list_transform(string_split(conv_id::VARCHAR, ''), lambda char: ord(char)::BIGINT)"
+    return f"""
+WITH turns AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations WHERE conv_id IS NOT NULL
+), marked AS (
+  SELECT conv_id, turn, strlen(text)::BIGINT AS bytes, md5(strlen(role) || ':' || role || text) AS mark FROM turns
+), own AS (
+  SELECT conv_id, list(struct_pack(mark := mark, bytes := bytes) ORDER BY turn NULLS FIRST, mark) AS turns
+  FROM marked GROUP BY conv_id
+), heads AS (
+  SELECT *, xor(list_reduce({codes}, lambda crc, byte: {step}, 4294967295), 4294967295) % 9 AS head FROM own
+), rebuilt AS (
+  SELECT c.conv_id, list_concat(coalesce(b.turns[1:c.head], []), c.turns[c.head + 1:]) AS turns
+  FROM heads c LEFT JOIN own b ON b.conv_id = c.conv_id - c.conv_id % 5
+), prefixes AS (
+  SELECT conv_id, len(turns) AS n, list_transform(turns, lambda t: t.mark) AS marks,
+         list_transform(turns, lambda t: t.bytes) AS sizes, unnest(range(0, len(turns) + 1)) AS depth
+  FROM rebuilt
+), nodes AS (
+  SELECT marks[1:depth] AS node, depth, min(conv_id) AS conv_id, count(*) AS n_convs,
+         (count(*) - 1) * coalesce(any_value(sizes[depth]), 0) AS saved,
+         sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (n = depth), '')) AS ends_sha256
+  FROM prefixes GROUP BY node, depth
+), children AS (
+  SELECT node[1:depth - 1] AS node, count(*) AS n_children FROM nodes WHERE depth > 0 GROUP BY ALL
+), counted AS (
+  SELECT n.*, coalesce(c.n_children, 0) AS n_children FROM nodes n LEFT JOIN children c ON n.node = c.node
+), upward AS (
+  SELECT saved, (n_children = 0)::BIGINT AS leaf, node, unnest(range(0, depth + 1)) AS above FROM counted
+), totals AS (
+  SELECT node[1:above] AS node, sum(leaf)::BIGINT AS n_leaves, sum(saved)::BIGINT AS saved_tokens FROM upward GROUP BY ALL
+)
+SELECT n.conv_id, n.depth, p.conv_id AS parent_conv_id, n.n_convs, n.n_children, t.n_leaves, t.saved_tokens, n.ends_sha256
+FROM counted n JOIN totals t ON t.node = n.node LEFT JOIN nodes p ON n.depth > 0 AND p.node = n.node[1:n.depth - 1]
+"""

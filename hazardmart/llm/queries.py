@@ -92,4 +92,6 @@ ORACLE = {
     "op8_source_mix": mixing.oracle(temperature=0.5, seed=7),
     "op9_exact_top_k": topk.oracle(k=20, every=20),
     "op10_url_filter": url_filter.oracle(RULES),
+    "op11_prefix_trie": prefix_trie.oracle(),
+    "op12_spelling_variants": spelling.oracle(),
 }

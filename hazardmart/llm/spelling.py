@@ -233,3 +233,50 @@ def spelling_variants(docs: DataFrame, options: SpellingOptions = SpellingOption
     be of any length. Without words the result is empty.
     """
     return variants(vocabulary(docs, options), options.ratio)
+
+
+def oracle() -> str:
+    """``spelling_variants`` with the default options as SQL: near words by all their gaps and deletions."""
+    table = "list_transform(range(256), lambda n: list_reduce(range(8), lambda c, i: xor(c >> 1, (c & 1) * 3988292384), n))"
+    codes = "list_transform(range(0, strlen(keyed)), lambda i: ('0x' || substr(hex(keyed), 2 * i + 1, 2))::BIGINT)"
+    upper, lower = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+    return f"""
+WITH RECURSIVE crc AS MATERIALIZED (
+  SELECT {table} AS steps
+), runs AS (
+  SELECT doc_id, translate(run, '{upper}', '{lower}') AS run, count(*) AS n
+  FROM (SELECT doc_id, unnest(regexp_extract_all(text, '[A-Za-z\u00C0-\u00FF]+')) AS run FROM documents) GROUP BY ALL
+), keyed AS (
+  SELECT run, n, coalesce(doc_id::VARCHAR, '') || ':' || run AS keyed FROM runs
+), marked AS (
+  SELECT run, n, xor(list_reduce({codes}, lambda c, byte: xor(c >> 8, steps[(xor(c, byte) & 255) + 1]), 4294967295), 4294967295) AS mark
+  FROM keyed, crc
+), changed AS (
+  SELECT CASE WHEN mark % 31 = 0 THEN substr(run, 1, mark % length(run)) || substr(run, mark % length(run) + 2) ELSE run END AS word, n
+  FROM marked
+), words AS MATERIALIZED (
+  SELECT word, sum(n)::BIGINT AS n FROM changed WHERE length(word) >= 7 GROUP BY word HAVING sum(n) >= 2
+), gaps AS (
+  SELECT word, n, substr(word, 1, place) AS head, substr(word, place + 2) AS tail
+  FROM (SELECT *, unnest(range(0, length(word))) AS place FROM words)
+), replaced AS (
+  SELECT a.word, b.word AS other FROM gaps a JOIN gaps b ON a.head = b.head AND a.tail = b.tail AND a.word <> b.word
+), missing AS (
+  SELECT DISTINCT g.word, w.word AS other FROM gaps g JOIN words w ON g.head || g.tail = w.word
+), near AS MATERIALIZED (
+  SELECT * FROM replaced UNION SELECT * FROM missing UNION SELECT other, word FROM missing
+), ranked AS (
+  SELECT near.word, other, o.n AS other_n, count(*) OVER (PARTITION BY near.word) AS n_near,
+         row_number() OVER (PARTITION BY near.word ORDER BY o.n DESC, other) AS place
+  FROM near JOIN words o ON o.word = other
+), judged AS MATERIALIZED (
+  SELECT w.word, w.n, coalesce(n_near, 0)::BIGINT AS n_near,
+         CASE WHEN other_n >= 10 * w.n THEN other END AS form, CASE WHEN other_n >= 10 * w.n THEN other_n END AS form_n
+  FROM words w LEFT JOIN ranked r ON r.word = w.word AND place = 1
+), followed AS (
+  SELECT word, word AS root FROM judged WHERE form IS NULL
+  UNION ALL
+  SELECT j.word, f.root FROM judged j JOIN followed f ON j.form = f.word
+)
+SELECT j.word, j.form, f.root, j.n, j.n_near, j.form_n FROM judged j JOIN followed f ON j.word = f.word
+"""
