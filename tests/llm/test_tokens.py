@@ -1,12 +1,14 @@
 """Token counts and BPE codec against the tokenizer's own library."""
 
+from hashlib import sha256
+
 import numpy as np
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
-from hazardmart.llm import bpe_codec, token_counts
+from hazardmart.llm import bpe_codec, queries, token_counts
 from hazardmart.llm.byte_bpe import FOREIGN, PIECES, default_tokenizer
 from hazardmart.llm.common import read
 
@@ -86,3 +88,16 @@ def test_encode_replaces_clashing_columns_and_decodes_back(spark):
 @pytest.mark.parametrize("run", [token_counts.count_tokens, bpe_codec.encode, bpe_codec.round_trip_digests])
 def test_empty_table(spark, run):
     assert run(spark.createDataFrame([], "doc_id long, text string")).collect() == []
+
+
+def test_registered_codec_query_has_the_library_digests(spark):
+    sf_dir = "/root/testdata/sf0.001"
+    docs = {row["doc_id"]: row["text"] or "" for row in read(spark, sf_dir, "documents").collect()}
+    rows = queries.op7_bpe_codec(spark, sf_dir).collect()
+    assert len(rows) == len(docs)
+    for row in rows:
+        ids = library_ids(docs[row["doc_id"]])
+        decoded = LIBRARY.decode(ids, skip_special_tokens=False)
+        assert row["n_tokens"] == len(ids)
+        assert row["ids_sha256"] == sha256(np.array(ids, "<u4").tobytes()).hexdigest()
+        assert row["decoded_sha256"] == sha256(decoded.encode()).hexdigest()
