@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from hazardmart.sources.landed import land
+# Members that cut the key space into ranges; what a plan carries along of them is this many keys.
+CUTS = 255
 
 
 def members(rows: DataFrame, column: str) -> DataFrame:
@@ -25,27 +26,30 @@ def number_bounded(
 
 
 def number_members(
-    values: DataFrame, key: str, id_column: str, start: Column | None = None
+    values: DataFrame, key: str, id_column: str, start: Column | None = None, cuts: int = CUTS
 ) -> DataFrame:
     """Ids 1..n in key order for any number of unique members, without a one-task sort.
 
-    Members are range-partitioned and landed once together with their range number. Each
-    member's id is its position inside its range plus the size of all lower ranges. Landing
-    pins the ranges: recomputing them could sample other bounds and hand out an id twice.
+    The members lowest by a hash cut the key space into ranges of like size; a member's id is its
+    position inside its range plus the size of all lower ranges. Cuts and sizes follow from the set
+    of members alone, not from its layout, so a recomputed task hands out the same ids and nothing
+    has to be written in between. The members are shuffled once for cuts, sizes and positions.
     """
-    ranged = values.select(key).repartitionByRange(key)
-    landed = land(ranged.withColumn("_range", F.spark_partition_id()), f"members-{key}")
+    members = values.select(key)
+    lowest = members.orderBy(F.xxhash64(key), key).limit(cuts)
+    bounds = lowest.agg(F.collect_list(key)).scalar()
+    cuts_below = F.size(F.filter("_cuts", lambda cut: cut <= F.col(key)))
+    ranged = members.withColumn("_cuts", bounds).select(key, cuts_below.alias("_range"))
     lower_ranges = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
-    # One row per range, so at most one per shuffle partition.
-    offsets = (
-        landed.groupBy("_range")
-        .agg(F.count("*").alias("_size"))
-        .select("_range", F.coalesce(F.sum("_size").over(lower_ranges), F.lit(0)).alias("_below"))
+    # One row per range, so at most one more than there are cuts.
+    sizes = ranged.groupBy("_range").agg(F.count("*").alias("_size"))
+    below = sizes.select(
+        F.struct("_range", F.coalesce(F.sum("_size").over(lower_ranges), F.lit(0))).alias("_entry")
     )
+    offsets = below.agg(F.map_from_entries(F.collect_list("_entry"))).scalar()
     position = F.row_number().over(Window.partitionBy("_range").orderBy(key))
-    return landed.join(offsets, "_range").select(
-        (position + F.col("_below") + _offset(start)).cast("int").alias(id_column), key
-    )
+    id_ = position + F.element_at(offsets, F.col("_range")) + _offset(start)
+    return ranged.select(id_.cast("int").alias(id_column), key)
 
 
 def insert_if_absent(existing: DataFrame, values: DataFrame, key: str, id_column: str) -> DataFrame:

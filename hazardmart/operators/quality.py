@@ -101,15 +101,21 @@ def row_counts(sources: Mapping[str, DataFrame]) -> DataFrame:
     )
 
 
+def tagged_row_counts(rows: DataFrame, tag: str, sources: Mapping[str, str]) -> DataFrame:
+    """``(source, n)`` for sources that one table holds, in one pass; ``sources`` maps names to tags."""
+    counts = [F.count_if(F.col(tag) == value).alias(name) for name, value in sources.items()]
+    return rows.agg(*counts).unpivot([], list(sources), "source", "n")
+
+
 def stack(frames: Iterable[DataFrame]) -> DataFrame:
     """All frames on top of each other, matched by column name."""
     return reduce(DataFrame.unionByName, frames)
 
 
-def quality_metrics(sources: Mapping[str, DataFrame], events: DataFrame) -> DataFrame:
+def quality_metrics(read: DataFrame, events: DataFrame) -> DataFrame:
     """``(metric, value, texto)``: rows read, fact rows, distinct members and measure totals.
 
-    Events are first reduced to their member combinations; the distinct counts then expand
+    ``read`` holds the ``(source, n)`` of the rows read. Events are first reduced to their member combinations; the distinct counts then expand
     those few rows instead of every event. Consolidated events state in ``registros`` how many fact rows
     each stands for.
     """
@@ -124,11 +130,11 @@ def quality_metrics(sources: Mapping[str, DataFrame], events: DataFrame) -> Data
         *[F.countDistinct(name).cast(AMOUNT_SUM).alias(as_) for as_, name in distinct.items()],
         *[F.sum(name).cast(AMOUNT_SUM).alias(name) for name in sums],
     )
-    read = row_counts(sources).select(
+    sizes = read.select(
         F.concat(F.lit("leidos_"), "source").alias("metric"),
         F.col("n").cast(AMOUNT_SUM).alias("value"),
     )
-    metrics = read.unionByName(figures.unpivot([], figures.columns, "metric", "value"))
+    metrics = sizes.unionByName(figures.unpivot([], figures.columns, "metric", "value"))
     money, number = F.concat(F.lit("$"), F.format_number("value", 2)), F.format_number("value", 0)
     return metrics.withColumn(
         "texto", F.when(F.col("metric") == "costo_total", money).otherwise(number)

@@ -6,7 +6,7 @@ described source into events, so a further source needs a description and no cod
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -23,6 +23,7 @@ from hazardmart.functions.cleansing import (
     loss,
 )
 from hazardmart.operators.conform import conform_phenomenon, conform_state, keep_valid
+from hazardmart.operators.quality import stack
 from hazardmart.schemas import AMOUNT, EVENTS
 
 
@@ -95,25 +96,71 @@ def to_events(
     raw: DataFrame, spec: SourceSpec, catalogues: Catalogues, keep: Sequence[str | Column] = ()
 ) -> DataFrame:
     """All rows of a source as events, valid state or not, plus the columns in ``keep``."""
-    kept = raw.select(*keep).columns
+    parsed = [value.alias(name) for name, value in _parsed(spec).items()]
+    return _conformed(raw.select(*keep, *parsed), catalogues, raw.select(*keep).columns)
+
+
+def sources_to_events(
+    sources: Sequence[tuple[DataFrame, SourceSpec]], catalogues: Catalogues
+) -> DataFrame:
+    """All rows of several sources as traced events; the catalogues are joined once, after the union."""
+    parsed = stack(
+        raw.select(*traced(spec), *[value.alias(name) for name, value in _parsed(spec).items()])
+        for raw, spec in sources
+    )
+    return _conformed(parsed, catalogues, TRACE.fieldNames())
+
+
+def feed_to_events(
+    feed: DataFrame,
+    source: str,
+    specs: Mapping[str, SourceSpec],
+    catalogues: Catalogues,
+    keep: Sequence[str] = (),
+) -> DataFrame:
+    """All rows of one table that holds several sources, as events, in a single scan.
+
+    ``source`` names the column that tells the sources apart and ``specs`` describes the rows of each
+    of its values; rows with other values or none are left out. A row is parsed by its own source's
+    rules only.
+    """
+    by_source = {value: _parsed(spec) for value, spec in specs.items()}
+    if not by_source:
+        raise ValueError("no source is described")
+
+    def own(name: str) -> Column:
+        chosen = F
+        for value, columns in by_source.items():
+            chosen = chosen.when(F.col(source) == value, columns[name])
+        return chosen.alias(name)
+
+    names = next(iter(by_source.values()))
+    parsed = feed.where(F.col(source).isin(*by_source)).select(*keep, *map(own, names))
+    return _conformed(parsed, catalogues, keep)
+
+
+def _parsed(spec: SourceSpec) -> dict[str, Column]:
+    """The values a source's row gives for an event, names not yet conformed."""
     phenomenon = F.col(spec.phenomenon)
     if spec.phenomenon_until:
         phenomenon = F.substring_index(phenomenon, spec.phenomenon_until, 1)
-    parsed = raw.select(
-        *keep,
-        F.col(spec.state).alias("_state"),
-        phenomenon.alias("_phenomenon"),
-        coerce_year(F.col(spec.year)).alias("anio"),
-        F.lit(spec.event_type).alias("tipo_evento"),
-        _measure(spec.municipalities, coerce_count, "int").alias("municipios_afectados"),
-        _measure(spec.population, clean_number).alias("poblacion_afectada"),
-        _measure(spec.attended, clean_number).alias("poblacion_atendida"),
-        _measure(spec.cost, clean_money).alias("costo_total"),
-        F.lit(1).alias("cantidad_eventos"),
-    )
+    return {
+        "_state": F.col(spec.state),
+        "_phenomenon": phenomenon,
+        "anio": coerce_year(F.col(spec.year)),
+        "tipo_evento": F.lit(spec.event_type),
+        "municipios_afectados": _measure(spec.municipalities, coerce_count, "int"),
+        "poblacion_afectada": _measure(spec.population, clean_number),
+        "poblacion_atendida": _measure(spec.attended, clean_number),
+        "costo_total": _measure(spec.cost, clean_money),
+        "cantidad_eventos": F.lit(1),
+    }
+
+
+def _conformed(parsed: DataFrame, catalogues: Catalogues, keep: Sequence[str]) -> DataFrame:
     named = conform_state(parsed, "_state", "estado", catalogues.states)
     named = conform_phenomenon(named, "_phenomenon", "fenomeno", catalogues.phenomena)
-    return named.select(*kept, *EVENTS.fieldNames())
+    return named.select(*keep, *EVENTS.fieldNames())
 
 
 def lost_texts(spec: SourceSpec) -> Column:

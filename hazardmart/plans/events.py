@@ -27,6 +27,11 @@ def build_events(*cleansed: DataFrame, years: YearRange = YEARS) -> DataFrame:
     return stack(cleansed).where(years.holds(F.col("anio")))
 
 
+def in_year_range(judged: DataFrame) -> DataFrame:
+    """The judged rows that :func:`build_events` keeps of valid ones: a NULL phenomenon stays in."""
+    return judged.where(F.col("verdict").isin(ACCEPTED, NULL_PHENOMENON)).drop("verdict")
+
+
 def with_latest(judged: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
     """Of the accepted rows with equal ``keys``, the first under a total ``order`` stays accepted.
 

@@ -30,7 +30,9 @@ from hazardmart.operators.quality import (
     overlong_counts,
     quality_metrics,
     require_zero,
+    row_counts,
     stack,
+    tagged_row_counts,
 )
 from hazardmart.operators.row_ids import with_row_ids
 from hazardmart.periods import PERIODS, YEARS, Periods, YearRange
@@ -40,8 +42,7 @@ from hazardmart.plans.cleanse import (
     PREVENTION,
     TRACE,
     loss_counts,
-    to_events,
-    traced,
+    sources_to_events,
 )
 from hazardmart.plans.events import ACCEPTED, with_latest, with_verdict
 from hazardmart.plans.star import (
@@ -74,6 +75,8 @@ EVENT_FOLDER = "eventos_conformados"
 CUBE_FOLDER = "eventos_consolidados"
 SKETCH_FOLDER = "bocetos"
 REPORT_FOLDER = "reporte"
+# Partition column of the conformed events: the year of accepted rows.
+YEAR_FOLDER = "anio_aceptado"
 
 
 @dataclass(frozen=True)
@@ -100,9 +103,17 @@ class Load:
 
 
 def _read_conformed(spark: SparkSession, folder: str) -> DataFrame:
-    named = [T.StructField(EVENT_ID, T.LongType()), T.StructField("verdict", T.StringType())]
+    named = [
+        T.StructField(EVENT_ID, T.LongType()),
+        T.StructField("verdict", T.StringType()),
+        T.StructField(YEAR_FOLDER, T.IntegerType()),
+    ]
     schema = T.StructType([*EVENTS, *TRACE, *named])
-    return spark.read.schema(schema).parquet(located(folder, EVENT_FOLDER))
+    return spark.read.schema(schema).parquet(located(folder, EVENT_FOLDER)).drop(YEAR_FOLDER)
+
+
+def _accepted(conformed: DataFrame) -> DataFrame:
+    return conformed.where(F.col("verdict") == ACCEPTED)
 
 
 def read_load(spark: SparkSession, folder: str) -> Load:
@@ -110,7 +121,7 @@ def read_load(spark: SparkSession, folder: str) -> Load:
     tables = {name: spark.read.parquet(located(folder, name)) for name in STAR_TABLES}
     return Load(
         folder=folder,
-        events=conformed.where(F.col("verdict") == ACCEPTED).select(*EVENTS.fieldNames()),
+        events=_accepted(conformed).select(*EVENTS.fieldNames()),
         rejected=conformed.where(F.col("verdict") != ACCEPTED),
         dimensions=Dimensions(*[tables[name] for name in DIMENSION_KEYS]),
         fact=tables[FACT_TABLE],
@@ -147,15 +158,16 @@ def run_load(
         sources.append((staging.projects, PREVENTION))
         types = EVENT_TYPES_WITH_PREVENTION
 
-    events = stack(to_events(raw, spec, catalogues, traced(spec)) for raw, spec in sources)
+    events = sources_to_events(sources, catalogues)
     listed = (catalogues.phenomena, _types(catalogues, types)) if strict else ()
     judged = with_verdict(with_row_ids(events, EVENT_ID), catalogues.states, years, *listed)
     if latest_only:
         judged = with_latest(land(judged, "judged"), LATEST_KEYS, _latest_first())
-    write_table(judged, located(folder, EVENT_FOLDER), partition_by="verdict", mode="error")
-    accepted = (
-        _read_conformed(spark, folder).where(F.col("verdict") == ACCEPTED).drop("verdict")
-    )
+    # Clustered as the fact will be, so that its write moves no row; rejects have no year folder.
+    year = F.when(F.col("verdict") == ACCEPTED, F.col("anio"))
+    clustered = judged.withColumn(YEAR_FOLDER, year)
+    write_table(clustered, located(folder, EVENT_FOLDER), ["verdict", YEAR_FOLDER], mode="error")
+    accepted = _accepted(_read_conformed(spark, folder)).drop("verdict")
     if accepted.isEmpty():
         raise DataQualityError("no row was accepted")
 
@@ -176,7 +188,8 @@ def run_load(
     # One type for every grain: published views read the loads of one table alike.
     wide = {name: F.col(name).cast(AMOUNT_SUM if name in AMOUNTS else "bigint") for name in MEASURES}
     fact = fact.withColumns(wide)
-    write_table(fact, located(folder, FACT_TABLE), partition_by="anio", mode="error")
+    # Consolidated rows come from a shuffle by other keys; the others lie in files of one year each.
+    write_table(fact, located(folder, FACT_TABLE), ["anio"], mode="error", clustered=not consolidated)
 
     load = read_load(spark, folder)
     validate(load)
@@ -256,14 +269,15 @@ def _write_analytics(load: Load, periods: Periods) -> None:
 def _write_reports(load: Load, staging: Staging, include_prevention: bool) -> None:
     # Every row of a loaded source is among the conformed ones; only those not loaded are read again.
     conformed = _read_conformed(load.fact.sparkSession, load.folder)
-    names = {"desastres": DISASTERS, "emergencias": EMERGENCIES, "proyectos": PREVENTION}
-    sources = {
-        name: conformed.where(F.col("tipo_evento") == spec.event_type) for name, spec in names.items()
-    }
+    names = {"desastres": DISASTERS, "emergencias": EMERGENCIES}
+    if include_prevention:
+        names["proyectos"] = PREVENTION
+    types = {name: spec.event_type for name, spec in names.items()}
+    read = tagged_row_counts(conformed, "tipo_evento", types)
     if not include_prevention:
-        sources["proyectos"] = staging.projects
+        read = read.unionByName(row_counts({"proyectos": staging.projects}))
     reports = {
-        "calidad": quality_metrics(sources, read_cube(load).withColumnRenamed("tipo_fenomeno", "fenomeno")),
+        "calidad": quality_metrics(read, read_cube(load).withColumnRenamed("tipo_fenomeno", "fenomeno")),
         # Over all conformed rows: the accepted ones cannot hold a null by their verdict.
         "integridad": integrity_nulls(conformed),
         "rechazos": load.rejected.groupBy("tipo_evento", "verdict").count(),

@@ -2,24 +2,27 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame
 
 
 def write_table(
-    rows: DataFrame, path: str, partition_by: str | None = None, mode: str = "overwrite"
+    rows: DataFrame,
+    path: str,
+    partition_by: Sequence[str] = (),
+    mode: str = "overwrite",
+    clustered: bool = False,
 ) -> None:
     """Full-refresh Parquet sink.
 
     With ``partition_by`` rows are rebalanced first: a folder gets files of the advisory size,
     written by as many tasks as its share of the data needs, instead of one file per input task.
+    ``clustered`` rows, read from files that hold one folder's rows each, are written as they lie.
     """
-    if partition_by is None:
-        rows.write.mode(mode).parquet(path)
-    else:
-        balanced = rows.hint("rebalance", partition_by)
-        balanced.write.mode(mode).partitionBy(partition_by).parquet(path)
+    if partition_by and not clustered:
+        rows = rows.hint("rebalance", *partition_by)
+    rows.write.mode(mode).partitionBy(*partition_by).parquet(path)
 
 
 def write_jdbc(

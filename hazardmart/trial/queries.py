@@ -11,7 +11,7 @@ from hazardmart.functions import cleansing
 from hazardmart.operators import analytics, conform, dashboard, grain, keys, quality
 from hazardmart.operators.row_ids import with_row_ids
 from hazardmart.plans import cleanse, star
-from hazardmart.plans.events import build_events, with_verdict
+from hazardmart.plans.events import in_year_range, with_verdict
 from hazardmart.schemas import AMOUNT, EVENT_ID, FACT_KEYS, MEASURES
 from hazardmart.sources.landed import land
 from hazardmart.trial import staging
@@ -28,6 +28,10 @@ from hazardmart.trial.tables import (
 
 Query = Callable[[SparkSession, str], DataFrame]
 
+# Order status that stands for each source, and the description of its rows.
+SOURCE_TAGS = {"desastres": "F", "emergencias": "O", "proyectos": "P"}
+SPECS = {"F": cleanse.DISASTERS, "O": cleanse.EMERGENCIES, "P": cleanse.PREVENTION}
+
 
 def period_comparison(spark: SparkSession, sf_dir: str) -> DataFrame:
     return analytics.period_comparison(events(spark, sf_dir), PERIODS)
@@ -217,21 +221,12 @@ def clean_projects(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def fact_base(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return build_events(
-        clean_disasters(spark, sf_dir), clean_emergencies(spark, sf_dir), years=YEARS
-    )
+    return in_year_range(_judged(spark, sf_dir, "F", "O"))
 
 
 def fact_verdicts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Accepted and rejected rows per reason and declaration type."""
-    known = staging.catalogues(spark, sf_dir)
-    all_events = quality.stack(
-        [
-            cleanse.to_events(staging.disasters(spark, sf_dir), cleanse.DISASTERS, known),
-            cleanse.to_events(staging.emergencies(spark, sf_dir), cleanse.EMERGENCIES, known),
-        ]
-    )
-    judged = with_verdict(all_events, known.states, YEARS)
+    judged = _judged(spark, sf_dir, "F", "O")
     return judged.groupBy("tipo_evento", "verdict").agg(F.count("*").alias("n"))
 
 
@@ -296,15 +291,7 @@ def fact_grain(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def fact_with_prevention(spark: SparkSession, sf_dir: str) -> DataFrame:
-    prevention = cleanse.prevention_events(
-        staging.projects(spark, sf_dir), staging.catalogues(spark, sf_dir), ["o_orderkey"]
-    )
-    with_prevention = build_events(
-        clean_disasters(spark, sf_dir),
-        clean_emergencies(spark, sf_dir),
-        prevention,
-        years=YEARS,
-    )
+    with_prevention = in_year_range(_judged(spark, sf_dir, "F", "O", "P"))
     return with_prevention.groupBy("tipo_evento").agg(
         F.count("*").alias("registros"),
         F.count("fenomeno").alias("con_fenomeno"),
@@ -390,7 +377,8 @@ def dq_fact_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def quality_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality.quality_metrics(_sources(spark, sf_dir), fact_base(spark, sf_dir))
+    read = quality.tagged_row_counts(table(spark, sf_dir, "orders"), "o_orderstatus", SOURCE_TAGS)
+    return quality.quality_metrics(read, fact_base(spark, sf_dir))
 
 
 def integrity_null_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -461,6 +449,14 @@ def _cleaned(spark: SparkSession, sf_dir: str, value: Column, name: str) -> Data
     return table(spark, sf_dir, "orders").select("o_orderkey", value.alias(name))
 
 
+def _judged(spark: SparkSession, sf_dir: str, *statuses: str) -> DataFrame:
+    """Rows of the sources with these statuses as events with verdict, from one scan of the feed."""
+    known = staging.catalogues(spark, sf_dir)
+    specs = {status: SPECS[status] for status in statuses}
+    declared = cleanse.feed_to_events(staging.feed(spark, sf_dir), "fuente", specs, known, ["o_orderkey"])
+    return with_verdict(declared, known.states, YEARS)
+
+
 def _landed_base(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The cleansed events written once: dimensions and fact both read them."""
     return land(fact_base(spark, sf_dir), "events")
@@ -475,7 +471,6 @@ def _conformed_states(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _sources(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     orders = table(spark, sf_dir, "orders")
-    statuses = {"desastres": "F", "emergencias": "O", "proyectos": "P"}
     return {
-        name: orders.where(F.col("o_orderstatus") == status) for name, status in statuses.items()
+        name: orders.where(F.col("o_orderstatus") == status) for name, status in SOURCE_TAGS.items()
     }

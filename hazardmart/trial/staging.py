@@ -110,41 +110,60 @@ def money_text(amount: Column) -> Column:
 
 
 def disasters(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _orders_of(spark, sf_dir, "F").select(
-        "o_orderkey",
-        state_text(F.col("estado"), F.col("n_nationkey")).alias("entidad_federativa"),
-        year_text(F.col("anio")).alias("anio"),
-        phenomenon_text(F.col("tipo_fenomeno")).alias("tipo_fenomeno"),
-        count_text(F.col("municipios_afectados")).alias("numero_municipios_corroborados"),
-    )
+    return _orders_of(spark, sf_dir, "F")
 
 
 def emergencies(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _orders_of(spark, sf_dir, "O").select(
-        "o_orderkey",
-        state_text(F.col("estado"), F.col("n_nationkey")).alias("entidad_federativa"),
-        year_text(F.col("anio")).alias("anio_ocurrencia_evento"),
-        phenomenon_text(F.col("tipo_fenomeno")).alias("tipo_fenomeno"),
-        count_text(F.col("municipios_afectados")).alias("numero_municipios_corroborados"),
-        number_text(_thousands("poblacion_afectada")).alias("poblacion_afectada"),
-        number_text(_thousands("poblacion_atendida")).alias("poblacion_atendida"),
-        money_text(F.col("costo_total")).alias("costo_total_declaratoria"),
-    )
+    return _orders_of(spark, sf_dir, "O")
 
 
 def projects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _orders_of(spark, sf_dir, "P")
+
+
+def feed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All three sources in one table; ``fuente`` tells them apart, and a row fills its own columns."""
+    owners: dict[str, list[str]] = {}
+    texts: dict[str, Column] = {}
+    for status, columns in _texts().items():
+        for name, text in columns.items():
+            owners.setdefault(name, []).append(status)
+            texts[name] = text
+    status = F.col("tipo_evento")
+    own = [F.when(status.isin(owners[name]), text).alias(name) for name, text in texts.items()]
+    return events(spark, sf_dir).select("o_orderkey", status.alias("fuente"), *own)
+
+
+def _texts() -> dict[str, dict[str, Column]]:
+    """The staging columns of each source, by order status; equal names hold equal texts."""
+    state = state_text(F.col("estado"), F.col("n_nationkey"))
+    year = year_text(F.col("anio"))
     segment = F.col("tipo_fenomeno")
+    named = {"entidad_federativa": state, "tipo_fenomeno": phenomenon_text(segment)}
+    counted = {"numero_municipios_corroborados": count_text(F.col("municipios_afectados"))}
+    affected, attended = number_text(_thousands("poblacion_afectada")), number_text(_thousands("poblacion_atendida"))
+    cost = money_text(F.col("costo_total"))
     described = spell(
         ["<lower> (uno, dos)", "sin dato", "<segment>"], segment=segment, lower=F.lower(segment)
     )
-    return _orders_of(spark, sf_dir, "P").select(
-        "o_orderkey",
-        state_text(F.col("estado"), F.col("n_nationkey")).alias("entidad_federativa_solicitante"),
-        year_text(F.col("anio")).alias("anio_autorizacion"),
-        described.alias("tipo_fenomeno_01"),
-        number_text(_thousands("poblacion_afectada")).alias("personas_beneficiadas"),
-        money_text(F.col("costo_total")).alias("costo_total_mxn_peso"),
-    )
+    return {
+        "F": {**named, **counted, "anio": year},
+        "O": {
+            **named,
+            **counted,
+            "anio_ocurrencia_evento": year,
+            "poblacion_afectada": affected,
+            "poblacion_atendida": attended,
+            "costo_total_declaratoria": cost,
+        },
+        "P": {
+            "entidad_federativa_solicitante": state,
+            "anio_autorizacion": year,
+            "tipo_fenomeno_01": described,
+            "personas_beneficiadas": affected,
+            "costo_total_mxn_peso": cost,
+        },
+    }
 
 
 def spell(spellings: Sequence[str | None], **values: Column) -> Column:
@@ -157,7 +176,8 @@ def spell(spellings: Sequence[str | None], **values: Column) -> Column:
 
 
 def _orders_of(spark: SparkSession, sf_dir: str, status: str) -> DataFrame:
-    return events(spark, sf_dir).where(F.col("tipo_evento") == status)
+    texts = [text.alias(name) for name, text in _texts()[status].items()]
+    return events(spark, sf_dir).where(F.col("tipo_evento") == status).select("o_orderkey", *texts)
 
 
 def _thousands(measure: str) -> Column:

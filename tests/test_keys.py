@@ -1,5 +1,7 @@
 """Surrogate keys: dense, ordered, stable."""
 
+from pyspark.sql import functions as F
+
 from hazardmart.operators import keys
 
 
@@ -19,14 +21,30 @@ def test_bounded_and_distributed_numbering_agree(spark):
     assert as_dict(keys.number_members(values, "k", "id")) == expected
 
 
-def test_distributed_numbering_uses_several_ranges(spark):
-    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+def test_numbering_does_not_depend_on_the_number_of_ranges_or_the_layout(spark):
+    # A long common beginning, so that ranges cannot come from the first characters.
+    names = [f"Municipio de la Sierra {i:06d}" for i in range(2000)]
+    expected = {name: i + 1 for i, name in enumerate(names)}
+    for cuts, tasks in ((1, 1), (7, 5), (255, 16)):
+        values = frame(spark, names).repartition(tasks)
+        assert as_dict(keys.number_members(values, "k", "id", cuts=cuts)) == expected
+
+
+def test_ranges_have_like_sizes_and_nothing_runs_while_planning(spark):
+    group = "numbering"
+    spark.sparkContext.setJobGroup(group, group)
     try:
-        values = frame(spark, [f"{i:06d}" for i in range(2000)])
-        result = as_dict(keys.number_members(values, "k", "id"))
+        values = spark.range(20_000).select(F.format_string("common prefix %08d", "id").alias("k")).distinct()
+        numbered = keys.number_members(values, "k", "id", cuts=63)
+        assert not spark.sparkContext.statusTracker().getJobIdsForGroup(group)
+        result = as_dict(numbered)
     finally:
-        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
-    assert result == {f"{i:06d}": i + 1 for i in range(2000)}
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert len(result) == 20_000 and max(result.values()) == 20_000
+    lowest = values.orderBy(F.xxhash64("k"), "k").limit(63)
+    cuts = sorted(row["k"] for row in lowest.collect())
+    places = [0, *[result[cut] - 1 for cut in cuts], 20_000]
+    assert max(after - before for before, after in zip(places, places[1:])) < 20_000 / 64 * 8
 
 
 def test_numbering_follows_code_points(spark):

@@ -358,6 +358,39 @@ def test_year_filter_prunes_fact_folders(spark, staging, load):
     assert "PartitionFilters: [isnotnull(anio" in plan_of(one_year)
 
 
+def test_fact_is_written_without_moving_rows(spark, load):
+    """The accepted events lie in files of one year each; the fact only looks up its keys."""
+    accepted = spark.read.parquet(f"{located(load.folder, 'eventos_conformados')}/verdict=accepted")
+    years = accepted.groupBy(F.input_file_name().alias("file")).agg(F.countDistinct("anio").alias("n"))
+    assert {row["n"] for row in years.collect()} == {1}
+    conformed = spark.read.parquet(located(load.folder, "eventos_conformados"))
+    folders = {(row["verdict"], row["anio_aceptado"]) for row in conformed.collect()}
+    assert all((year is None) == (verdict != "accepted") for verdict, year in folders)
+    fact = star.load_fact(load.events, load.dimensions, keep=["anio"])
+    assert "Exchange hashpartitioning" not in plan_of(fact)
+    assert "Exchange rebalance" not in plan_of(fact)
+
+
+def test_feed_of_several_sources_equals_the_sources(spark, staging):
+    known = Catalogues.official(spark)
+    tagged = {"d": (staging.disasters, cleanse.DISASTERS), "e": (staging.emergencies, cleanse.EMERGENCIES)}
+    apart = quality.stack(cleanse.to_events(raw, spec, known) for raw, spec in tagged.values())
+    rows = [raw.withColumn("origen", F.lit(tag)) for tag, (raw, _) in tagged.items()]
+    rows.append(staging.projects.withColumn("origen", F.lit("x")))
+    rows.append(staging.disasters.withColumn("origen", F.lit(None).cast("string")))
+    feed = rows[0]
+    for more in rows[1:]:
+        feed = feed.unionByName(more, allowMissingColumns=True)
+    specs = {tag: spec for tag, (_, spec) in tagged.items()}
+    together = cleanse.feed_to_events(feed, "origen", specs, known)
+    assert together.schema.fieldNames() == EVENTS.fieldNames()
+    assert sorted(map(str, rows_of(together))) == sorted(map(str, rows_of(apart)))
+    counts = quality.tagged_row_counts(feed, "origen", {"desastres": "d", "otros": "nadie"})
+    assert {row["source"]: row["n"] for row in counts.collect()} == {"desastres": len(DISASTERS), "otros": 0}
+    with pytest.raises(ValueError, match="no source"):
+        cleanse.feed_to_events(feed, "origen", {}, known)
+
+
 def test_star_gives_the_same_analytics_as_the_flat_events(spark, staging, load):
     flat = load.events.withColumnRenamed("fenomeno", "tipo_fenomeno")
     for analytic in [*dashboard.VIEWS.values(), analytics.star_cube, analytics.top_state_years]:
@@ -368,7 +401,7 @@ def test_quality_reports(spark, staging, load):
     sources = {"desastres": staging.disasters, "emergencias": staging.emergencies}
     report = {
         row["metric"]: (row["value"], row["texto"])
-        for row in quality.quality_metrics(sources, load.events).collect()
+        for row in quality.quality_metrics(quality.row_counts(sources), load.events).collect()
     }
     assert report["leidos_desastres"] == (Decimal("9.00"), "9")
     assert report["registros_fact"] == (Decimal("5.00"), "5")
@@ -438,7 +471,7 @@ def test_sketches_of_loads_can_be_united(spark):
 
 def test_partitioned_parquet_round_trip(spark, staging, tmp_path):
     path = f"{tmp_path}/staging"
-    write_table(staging.disasters, path, partition_by="anio")
+    write_table(staging.disasters, path, partition_by=["anio"])
     back = read_parquet(spark, path, DISASTER_STAGING)
     assert back.count() == len(DISASTERS)
     write_table(staging.disasters.limit(2), path)

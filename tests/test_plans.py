@@ -45,6 +45,13 @@ def test_no_query_uses_a_cross_join_or_a_udf(spark):
             assert node not in plan, (name, node)
 
 
+@pytest.mark.parametrize("name", ["fact_base", "fact_with_prevention", "fact_verdicts", "quality_metrics"])
+def test_all_sources_are_cleansed_in_one_scan(spark, name):
+    plan = plan_of(queries()[name](spark, SF_DIR), "formatted")
+    assert plan.count("/lineitem.parquet") <= 1
+    assert plan.count("/orders.parquet") <= (2 if name == "quality_metrics" else 1)
+
+
 def test_emergencies_read_only_the_columns_they_use(spark, tmp_path):
     path = str(tmp_path / "staging")
     spark.createDataFrame([tuple(["1"] * 84)], EMERGENCY_STAGING).write.parquet(path)
