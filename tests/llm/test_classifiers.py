@@ -1,5 +1,7 @@
 """Classifiers by their held-out accuracy, and mixing by its shares."""
 
+import math
+
 import numpy as np
 from pyspark.sql import functions as F
 
@@ -40,6 +42,76 @@ def test_odd_documents_and_no_labels(spark):
         assert quality.score_quality(docs.limit(0), labels).collect() == []
 
 
+def plain_ftrl(rows, options):
+    """The update rule, one coordinate after the other."""
+    z, n = {}, {}
+
+    def weight(place):
+        if abs(z.get(place, 0.0)) <= options.l1:
+            return 0.0
+        shrunk = z[place] - math.copysign(options.l1, z[place])
+        return -shrunk / ((options.beta + math.sqrt(n[place])) / options.alpha + options.l2)
+
+    for _ in range(options.epochs):
+        for text, label in rows:
+            own = [(int(p), float(x)) for p, x in zip(*toxicity.example(text, options.bits), strict=True)]
+            weights = {place: weight(place) for place, _ in own}
+            error = 1 / (1 + math.exp(-sum(weights[place] * x for place, x in own))) - label
+            for place, x in own:
+                gradient, seen = error * x, n.get(place, 0.0)
+                rate_change = (math.sqrt(seen + gradient**2) - math.sqrt(seen)) / options.alpha
+                z[place] = z.get(place, 0.0) + gradient - rate_change * weights[place]
+                n[place] = seen + gradient**2
+    return {place: weight(place) for place in z if weight(place)}
+
+
+def test_ftrl_equals_a_plain_loop_over_coordinates(spark):
+    rows = [(i, ("you awful fool " if i % 3 == 0 else "a fine day ") * (1 + i % 5) + f"word{i % 11} again") for i in range(90)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, 0, int(i % 3 == 0)) for i in range(90)], "doc_id long, quality int, toxic int")
+    options = toxicity.ToxicityOptions(l1=0.2, epochs=3)
+    places, weights = toxicity.learn(docs, labels, F.lit(True), options)
+    order = docs.orderBy(F.xxhash64("doc_id", F.lit(23)), "doc_id").collect()
+    expected = plain_ftrl([(row["text"], int(row["doc_id"] % 3 == 0)) for row in order], options)
+    assert expected and places.tolist() == sorted(expected)
+    assert np.allclose(weights, [expected[place] for place in sorted(expected)], rtol=1e-5, atol=1e-6)
+    dense = toxicity.Scorer(places, weights, options.bits)
+    for row in order[:5]:
+        own = zip(*toxicity.example(row["text"], options.bits), strict=True)
+        logit = sum(expected.get(int(place), 0.0) * float(x) for place, x in own)
+        assert abs(dense(row["text"]) - 1 / (1 + math.exp(-logit))) < 1e-5
+
+
+def test_quality_fit_equals_a_direct_least_squares_solution(spark):
+    rows = [(i, ("| # 7 " * (i % 9 + 1)) if i % 2 else f"Some words, {i} of them, that make up a text. " * (i % 6 + 1)) for i in range(300)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(i % 2 == 0 or i % 7 == 0), 0) for i in range(300)], "doc_id long, quality int, toxic int")
+    options = quality.QualityOptions(features=40)
+    model = quality.learn(docs, labels, F.lit(True), options)
+    apart = docs.select("doc_id", (F.pmod(F.xxhash64("doc_id", F.lit(options.seed)), F.lit(4)) == 0).alias("apart"))
+    apart = {row["doc_id"]: row["apart"] for row in apart.collect()}
+    matrix = np.array([quality.statistics(text) for _, text in rows])
+    assert np.allclose(model.mean, matrix.mean(axis=0)) and np.allclose(model.deviation[0], matrix[:, 0].std())
+    fits = np.array([not apart[i] for i, _ in rows])
+    target = np.array([float(i % 2 == 0 or i % 7 == 0) for i, _ in rows])
+    waves = model.features(matrix)
+    # The penalty as further rows of an ordinary least squares problem; the constant has none.
+    penalty = np.sqrt(options.ridge * fits.sum()) * np.eye(options.features + 1)[:-1]
+    equations = np.vstack([waves[fits], penalty])
+    direct = np.linalg.lstsq(equations, np.append(target[fits], np.zeros(options.features)), rcond=None)[0]
+    assert np.allclose(waves @ direct, model.raw(matrix), atol=1e-5)
+    # Isotonic values by their definition: the greatest least mean over blocks around a place.
+    known = np.array([apart[i] for i, _ in rows])
+    values, wanted = np.round(model.raw(matrix[known]), 6), target[known]
+    distinct = np.unique(values)
+    sums = np.array([[wanted[values == v].sum(), (values == v).sum()] for v in distinct])
+    below = np.vstack([[0, 0], sums.cumsum(axis=0)])
+    mean = lambda first, last: (below[last + 1] - below[first])[0] / (below[last + 1] - below[first])[1]
+    count = len(distinct)
+    expected = [max(min(mean(j, k) for k in range(i, count)) for j in range(i + 1)) for i in range(count)]
+    assert np.allclose(np.interp(distinct, *quality.isotonic(values, wanted)), expected, atol=0.002)
+
+
 def test_isotonic_fit_never_falls():
     values, labels = np.array([3.0, 1.0, 2.0, 2.0, 5.0, 4.0]), np.array([1, 0, 1, 0, 1, 0])
     places, scores = quality.isotonic(values, labels)

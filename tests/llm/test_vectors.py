@@ -1,6 +1,7 @@
 """Vector searches against brute force."""
 
 import numpy as np
+import pytest
 
 from hazardmart.llm.common import read
 from hazardmart.llm.neighbours import IndexOptions, nearest_neighbours
@@ -16,11 +17,11 @@ def odd_rows():
     ]
 
 
-def test_recall_and_scores(spark):
+@pytest.mark.parametrize("options", [IndexOptions(), IndexOptions(sample=1000, list_rows=32)], ids=["registered", "small lists"])
+def test_recall_and_scores(spark, options):
     vectors = read(spark, "/root/testdata/sf0.1", "embeddings")
     rows = {r["vec_id"]: np.array(r["embedding"], float) for r in vectors.collect()}
     ids, matrix = np.array(sorted(rows)), np.stack([rows[i] for i in sorted(rows)])
-    options = IndexOptions(sample=1000, list_rows=32)
     result = nearest_neighbours(vectors, vectors.filter("vec_id % 100 = 0"), options=options).collect()
     hits = 0
     for query in (i for i in ids if i % 100 == 0):
