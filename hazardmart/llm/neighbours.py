@@ -1,15 +1,17 @@
 """Approximate nearest neighbours by balanced posting lists.
 
-A bounded sample is halved again and again at the median of its main direction, which gives lists of
-equal size; their means are the centroids. Every row goes to its nearest centroid and, when it lies
-near a boundary, to further ones. Centroids are found by a best-first walk over an in-memory graph;
-a query reads the lists whose centroid is at most a given ratio farther than the nearest one.
+Sampled rows are halved again and again at the median of their main direction, which gives lists of
+equal size; their means are the centroids. There are as many lists as the rows fill, up to what one
+in-memory graph holds: a small sample is cut into cells on the driver, and each cell's share of a
+larger sample is cut into its lists by a task. Every row goes to its nearest centroid and, when it
+lies on a boundary, to further ones. Centroids are found by a best-first walk over the graph; a query
+reads the lists whose centroid is at most a given ratio farther than the nearest one.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 import numpy as np
 import pandas as pd
@@ -22,24 +24,32 @@ from hazardmart.sources.landed import land
 
 # Rows of one posting list, and queries of one list, that a task compares at a time.
 LIST_ROWS, LIST_QUERIES = 8192, 2048
+# Queries whose distances to a list are held at the same time.
+QUERIES_AT_ONCE = 64
 # Rows that walk over the graph at the same time.
 ROWS_AT_ONCE = 512
 
 
 @dataclass(frozen=True)
 class IndexOptions:
-    """``sample``: rows the index is fitted on, the first by a hash of the id.
-
-    ``list_rows``: sampled rows per list; ``replicas`` and ``boundary``: how many lists a row may be
-    in, and how much farther than the nearest centroid theirs may be; ``recall``: share of the true
-    neighbours, among the sampled rows, that the lists read for ``trials`` sampled queries must hold;
-    ``least_probes``: lists that are read in any case; ``degree``: edges of a centroid.
+    """``sample``: rows that the driver cuts into about ``cells``, the first by a hash of the id.
+
+    ``list_rows``: rows per list aimed at; ``max_lists``: lists aimed at, at most, which bounds the
+    broadcast graph (halving gives up to twice as many); ``sampled``: rows, at most, whose mean is a
+    centroid; ``cell_rows``: sampled rows of a cell that a task cuts at a time; ``replicas`` and
+    ``boundary``: how many lists a row may be in, and how much farther than the nearest centroid theirs
+    may be; ``recall``: share of the true neighbours of ``trials`` sampled rows that the lists read must
+    hold; ``least_probes``: lists that are read in any case; ``degree``: edges of a centroid.
     """
 
     sample: int = 20_000
+    cells: int = 64
     list_rows: int = 128
+    max_lists: int = 1 << 16
+    sampled: int = 64
+    cell_rows: int = 1 << 14
     replicas: int = 4
-    boundary: float = 0.05
+    boundary: float = 0.2
     recall: float = 0.96
     trials: int = 256
     least_probes: int = 8
@@ -70,13 +80,17 @@ def balanced_centroids(sample: np.ndarray, list_rows: int, seed: int) -> np.ndar
 
 @dataclass
 class CentroidGraph:
-    """Centroids, the neighbours of each, and spread-out places to start a walk from."""
+    """Centroids, the neighbours of each, and spread-out places to start a walk from.
+
+    ``sizes``: different ids in the list of each centroid, set once the lists are filled.
+    """
 
     centroids: np.ndarray
     edges: np.ndarray = field(init=False)
     starts: np.ndarray = field(init=False)
     degree: int = 16
     ratio: float = 1.0
+    sizes: np.ndarray | None = None
 
     def __post_init__(self):
         centroids = self.centroids = np.ascontiguousarray(self.centroids, np.float32)
@@ -138,21 +152,35 @@ class CentroidGraph:
         return places, np.sqrt(np.maximum(squared, 0))
 
     def posting_lists(self, rows: np.ndarray, options: IndexOptions) -> list[np.ndarray]:
-        """Lists of each row: the nearest, and others whose centroid is hardly farther."""
-        places, distances = self.nearest(rows, 3 * options.replicas)
-        places, distances = places[:, : options.replicas], distances[:, : options.replicas]
-        within = distances <= distances[:, :1] * (1 + options.boundary)
-        return [own[chosen] for own, chosen in zip(places, within, strict=True)]
+        """Lists of each row: the nearest, and others whose centroid is hardly farther.
 
-    def probed_lists(self, rows: np.ndarray, options: IndexOptions) -> list[np.ndarray]:
+        A further list is taken only if its centroid is nearer to the row than to the centroids of
+        the lists it is in already: then the row lies on a boundary, and the list is no neighbour of
+        those that a query reading the others would read anyway.
+        """
+        places, distances = self.nearest(rows, 3 * options.replicas)
+        chosen = np.zeros(places.shape, bool)
+        chosen[:, 0] = True
+        near = distances <= distances[:, :1] * (1 + options.boundary)
+        for rank in range(1, places.shape[1]):
+            apart = self.centroids[places[:, :rank]] - self.centroids[places[:, rank]][:, None]
+            apart = np.sqrt((apart**2).sum(2))
+            beyond = (~chosen[:, :rank] | (apart >= distances[:, rank, None])).all(1)
+            chosen[:, rank] = near[:, rank] & beyond & (chosen.sum(1) < options.replicas)
+        return [own[kept] for own, kept in zip(places, chosen, strict=True)]
+
+    def probed_lists(self, rows: np.ndarray, options: IndexOptions, k: int) -> list[np.ndarray]:
         """Lists that each query reads: those within the distance ratio, and the nearest few.
 
-        The walk is widened until the farthest list it returns lies outside the ratio.
+        Further lists are read where these hold too few rows for k neighbours, even if every one of
+        them were in as many lists as a row can be. The walk is widened until the farthest list it
+        returns is not wanted.
         """
         wanted = 4 * options.least_probes
         while True:
             places, distances = self.nearest(rows, wanted, step=16)
-            within = distances <= distances[:, :1] * self.ratio
+            before = np.cumsum(self.sizes[places], axis=1) - self.sizes[places]
+            within = (distances <= distances[:, :1] * self.ratio) | (before <= k * options.replicas)
             if wanted >= len(self.centroids) or not within[:, -1].any():
                 break
             wanted *= 2
@@ -160,48 +188,112 @@ class CentroidGraph:
         within &= np.isfinite(distances)
         return [own[chosen] for own, chosen in zip(places, within, strict=True)]
 
-    def calibrate(self, sample: np.ndarray, k: int, options: IndexOptions) -> None:
-        """The distance ratio at which the probed lists hold enough of the sampled neighbours."""
-        strips = (sample[start : start + ROWS_AT_ONCE] for start in range(0, len(sample), ROWS_AT_ONCE))
-        lists = [own for strip in strips for own in self.posting_lists(strip, options)]
-        held = np.full((len(sample), options.replicas), -1)
-        for row, own in zip(held, lists, strict=True):
-            row[: len(own)] = own
+    def calibrate(self, queries: np.ndarray, neighbours: list[np.ndarray], options: IndexOptions) -> None:
+        """The distance ratio at which the probed lists hold enough of the queries' true neighbours."""
         needed = []
-        for number, query in enumerate(sample[: options.trials]):
-            away = ((sample - query) ** 2).sum(1)
-            away[number] = np.inf
-            neighbours = np.argpartition(away, k)[:k] if len(away) > k else np.flatnonzero(np.isfinite(away))
+        for query, rows in zip(queries, neighbours, strict=True):
             to_lists = np.sqrt(((self.centroids - query) ** 2).sum(1))
-            reached = np.where(held[neighbours] >= 0, to_lists[held[neighbours]], np.inf).min(axis=1)
-            needed.append(reached / max(to_lists.min(), 1e-12))
-        self.ratio = max(1.0, float(np.quantile(np.concatenate(needed), options.recall))) if needed else 1.0
+            nearest = max(to_lists.min(), 1e-12)
+            for start in range(0, len(rows), ROWS_AT_ONCE):
+                lists = self.posting_lists(rows[start : start + ROWS_AT_ONCE], options)
+                needed += [to_lists[own].min() / nearest for own in lists]
+        self.ratio = max(1.0, float(np.quantile(needed, options.recall))) if needed else 1.0
+
+
+def _stacked(vectors: pa.Array) -> np.ndarray:
+    return np.stack(vectors.to_numpy(zero_copy_only=False)).astype(np.float64)
+
+
+def _cell_centroids(rows: DataFrame, cells: np.ndarray, share: float, options: IndexOptions) -> np.ndarray:
+    """Centroids of the lists: each cell's part of a sample of ``share`` of the rows, halved by tasks.
+
+    Equal vectors count once. The rows of a crowded cell are cut in several parts by a hash, each of
+    which gives its share of the centroids.
+    """
+    limit = int(share * 2**32)
+    sampled = rows.filter(F.pmod(F.xxhash64("id", F.lit(options.seed + 1)), F.lit(2**32)) < limit)
+    graph = CentroidGraph(cells, degree=options.degree)
+    alone = replace(options, replicas=1)
+    placed = land(_assigned(sampled.select("id", "vec").dropDuplicates(["vec"]), graph, alone), "cells")
+    parts = placed.groupBy("list").agg(F.ceil(F.count("*") / options.cell_rows).alias("parts"))
+    split = placed.join(parts, "list").withColumn("part", F.pmod(F.xxhash64("id"), F.col("parts")))
 
+    def halve(part: pd.DataFrame) -> pd.DataFrame:
+        part = part.sort_values("id", kind="stable")  # the same centroids if the task runs again
+        vectors = np.stack(part["vec"].to_list()).astype(np.float64)
+        return pd.DataFrame({"vec": list(balanced_centroids(vectors, options.sampled, options.seed))})
 
-def fit(rows: DataFrame, k: int, options: IndexOptions) -> CentroidGraph:
-    """Centroid graph of a sample of ``options.sample`` rows, taken in the order of an id hash."""
+    found = split.select("list", "part", "id", "vec").groupBy("list", "part").applyInPandas(halve, "vec array<double>").toPandas()
+    return np.unique(np.stack(found["vec"].to_list()), axis=0) if len(found) else cells
+
+
+def true_neighbours(rows: DataFrame, ids: np.ndarray, queries: np.ndarray, k: int) -> list[np.ndarray]:
+    """Vectors of the k nearest rows of each of a few queries, found by comparing them with all rows."""
+    shared = rows.sparkSession.sparkContext.broadcast((ids, queries))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        ids, queries = shared.value
+        best = [(np.empty(0), np.empty((0, queries.shape[1])))] * len(queries)
+        for whole in batches:
+            for start in range(0, whole.num_rows, ROWS_AT_ONCE):
+                batch = whole.slice(start, ROWS_AT_ONCE)
+                own, vectors = batch.column("id").to_numpy(), _stacked(batch.column("vec"))
+                away = (vectors**2).sum(1) - 2 * queries @ vectors.T + (queries**2).sum(1)[:, None]
+                away[ids[:, None] == own] = np.inf
+                for number, distances in enumerate(away):
+                    far, kept = best[number]
+                    if len(far) == k and not distances.min() < far.max():
+                        continue
+                    far = np.concatenate([far, distances])
+                    keep = np.argsort(far, kind="stable")[:k]
+                    keep = keep[np.isfinite(far[keep])]
+                    best[number] = far[keep], np.concatenate([kept, vectors])[keep]
+        counts = [len(far) for far, _ in best]
+        yield pa.RecordBatch.from_arrays(
+            [
+                pa.array(np.repeat(np.arange(len(queries)), counts), pa.int64()),
+                pa.array(np.concatenate([far for far, _ in best]), pa.float64()),
+                pa.array([row for _, kept in best for row in kept.tolist()], pa.list_(pa.float64())),
+            ],
+            names=["query", "away", "vec"],
+        )
+
+    found = rows.select("id", "vec").mapInArrow(run, "query long, away double, vec array<double>")
+    nearest_first = Window.partitionBy("query").orderBy("away", "vec")
+    found = found.withColumn("place", F.row_number().over(nearest_first)).filter(F.col("place") <= k)
+    found = found.select("query", "vec").toPandas()
+    vectors = dict(list(found.groupby("query")["vec"]))
+    none = np.empty((0, queries.shape[1]))
+    return [np.stack(vectors[number].to_list()) if number in vectors else none for number in range(len(queries))]
+
+
+def fit(rows: DataFrame, count: int, k: int, options: IndexOptions) -> CentroidGraph:
+    """Centroid graph of ``count`` rows, with the ratio that finds the true neighbours of sampled rows."""
     order = F.xxhash64(F.col("id"), F.lit(options.seed))
-    sample = rows.orderBy(order, "id").limit(options.sample).toPandas()["vec"]
-    distinct = np.unique(np.stack(sample.to_list()).astype(np.float64), axis=0)
-    distinct = distinct[np.random.default_rng(options.seed).permutation(len(distinct))]
-    graph = CentroidGraph(balanced_centroids(distinct, options.list_rows, options.seed), degree=options.degree)
-    graph.calibrate(distinct, k, options)
+    sample = rows.orderBy(order, "id").limit(options.sample).toPandas()
+    ids, vectors = sample["id"].to_numpy(), np.stack(sample["vec"].to_list()).astype(np.float64)
+    distinct = np.unique(vectors, axis=0)
+    cells = balanced_centroids(distinct, max(options.list_rows, -(-len(distinct) // options.cells)), options.seed)
+    lists = min(options.max_lists, -(-count // options.list_rows))
+    share = min(1.0, lists * options.sampled / count)
+    graph = CentroidGraph(_cell_centroids(rows, cells, share, options), degree=options.degree)
+    queries = vectors[: options.trials]
+    graph.calibrate(queries, true_neighbours(rows, ids[: options.trials], queries, k), options)
     return graph
 
 
-def _assigned(rows: DataFrame, graph: CentroidGraph, options: IndexOptions, probing: bool) -> DataFrame:
-    """One row per list of each row: (list, id, vec)."""
+def _assigned(rows: DataFrame, graph: CentroidGraph, options: IndexOptions, probing: int = 0) -> DataFrame:
+    """One row per list of each row, or of each query for ``probing`` neighbours: (list, id, vec)."""
     shared = rows.sparkSession.sparkContext.broadcast(graph)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         graph = shared.value
-        pick = graph.probed_lists if probing else graph.posting_lists
         for whole in batches:
             for start in range(0, whole.num_rows, ROWS_AT_ONCE):
                 batch = whole.slice(start, ROWS_AT_ONCE)
                 vectors = batch.column("vec")
-                rows = np.stack(vectors.to_numpy(zero_copy_only=False)).astype(np.float64)
-                lists = pick(rows, options)
+                stacked = _stacked(vectors)
+                lists = graph.probed_lists(stacked, options, probing) if probing else graph.posting_lists(stacked, options)
                 repeated = pa.array(np.repeat(np.arange(len(lists)), [len(found) for found in lists]))
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(np.concatenate(lists), pa.int64()), batch.column("id").take(repeated), vectors.take(repeated)],
@@ -217,27 +309,55 @@ def _compare(k: int):
         if len(queries) and len(rows):
             rows = rows.sort_values("id", kind="stable")
             ids, vectors = rows["id"].to_numpy(), np.stack(rows["vec"].to_list()).astype(np.float64)
-            firsts = np.flatnonzero(np.append(True, ids[1:] != ids[:-1]))
-            ids = ids[firsts]
-            for query_id, query in zip(queries["id"], queries["vec"], strict=True):
-                distances = np.sqrt(((vectors - query.astype(np.float64)) ** 2).sum(axis=1))
-                distances = np.minimum.reduceat(distances, firsts)  # one place per id, for its nearest row
-                distances[ids == query_id] = np.inf
-                best = np.argsort(distances, kind="stable")[:k] if len(ids) <= k else _nearest(distances, k)
-                best = best[np.isfinite(distances[best])]
-                found["query_id"].append(np.full(len(best), query_id))
-                found["id"].append(ids[best])
-                found["score"].append(distances[best])
+            asked, points = queries["id"].to_numpy(), np.stack(queries["vec"].to_list()).astype(np.float64)
+            for start in range(0, len(asked), QUERIES_AT_ONCE):
+                strip = slice(start, start + QUERIES_AT_ONCE)
+                for query_id, point, near in zip(
+                    asked[strip], points[strip], _possible(vectors, ids, points[strip], asked[strip], k), strict=True
+                ):
+                    distances = np.sqrt(((vectors[near] - point) ** 2).sum(axis=1))
+                    near, distances = near[np.isfinite(distances)], distances[np.isfinite(distances)]
+                    order = np.lexsort((ids[near], distances))
+                    _, firsts = np.unique(ids[near[order]], return_index=True)  # an id counts by its nearest row
+                    order = order[np.sort(firsts)[:k]]
+                    found["query_id"].append(np.full(len(order), query_id))
+                    found["id"].append(ids[near[order]])
+                    found["score"].append(distances[order])
         return pd.DataFrame({name: np.concatenate(parts) for name, parts in found.items()})
 
     return run
 
 
-def _nearest(distances: np.ndarray, k: int) -> np.ndarray:
-    """Places of the k smallest distances; of equal ones at the end the first places stay."""
-    most = np.partition(distances, k - 1)[k - 1]
-    below = np.flatnonzero(distances < most)
-    return np.concatenate([below, np.flatnonzero(distances == most)[: k - len(below)]])
+def _possible(vectors: np.ndarray, ids: np.ndarray, points: np.ndarray, asked: np.ndarray, k: int) -> Iterator[np.ndarray]:
+    """Rows that can be among the k nearest ids of each query, by distances from one matrix product.
+
+    Their rounding is far below the slack, so that no row which the exact distances put first is left out.
+    """
+    squares, own = (vectors**2).sum(1), (points**2).sum(1)
+    away = squares - 2 * points @ vectors.T + own[:, None]
+    away[asked[:, None] == ids] = np.inf
+    slack = 1e-9 * (own + squares.max())
+    firsts = np.flatnonzero(np.append(True, ids[1:] != ids[:-1]))
+    by_id = away if len(firsts) == len(ids) else np.minimum.reduceat(away, firsts, axis=1)
+    limits = np.full(len(points), np.inf) if len(firsts) <= k else np.partition(by_id, k - 1, axis=1)[:, k - 1] + slack
+    for query_id, distances, limit in zip(asked, away, limits, strict=True):
+        yield np.flatnonzero(~(distances > limit) & (ids != query_id))
+
+
+def assigned(offered: DataFrame, asked: DataFrame, count: int, k: int, options: IndexOptions) -> tuple[DataFrame, DataFrame]:
+    """The lists that ``count`` offered rows are in, and those that queries read: (list, id, vec) each."""
+    graph = fit(offered, count, k, options)
+    postings = land(_assigned(offered, graph, options), "postings")
+    held = postings.groupBy("list").agg(F.countDistinct("id").alias("ids")).toPandas()  # a row per centroid at most
+    graph.sizes = np.zeros(len(graph.centroids), np.int64)
+    graph.sizes[held["list"]] = held["ids"]
+    return postings, land(_assigned(asked, graph, options, probing=k), "probes")
+
+
+def rows_compared(postings: DataFrame, probes: DataFrame) -> DataFrame:
+    """Per query: how many rows of its lists it is compared with (``id``, ``rows``)."""
+    sizes = postings.groupBy("list").agg(F.count("*").alias("rows"))
+    return probes.select("list", "id").join(sizes, "list").groupBy("id").agg(F.sum("rows").alias("rows"))
 
 
 def nearest_neighbours(
@@ -258,17 +378,16 @@ def nearest_neighbours(
     nonzero = F.exists("vec", lambda x: x != 0)
     offered = usable(candidates, key, vector).filter(nonzero)
     asked = usable(queries, key, vector).filter(nonzero).groupBy("id").agg(F.min("vec").alias("vec"))
-    width = max(offered.agg(F.max(F.size("vec"))).first()[0] or 0, asked.agg(F.max(F.size("vec"))).first()[0] or 0)
+    (count, width), longest = offered.agg(F.count("*"), F.max(F.size("vec"))).first(), asked.agg(F.max(F.size("vec"))).first()[0]
+    width = max(width or 0, longest or 0)
     kind = offered.schema["vec"].dataType.elementType.simpleString()
     missing = F.array_repeat(F.lit(0).cast(kind), F.greatest(F.lit(width) - F.size("vec"), F.lit(0)))
     padded = F.concat("vec", missing)
     offered, asked = offered.select("id", padded.alias("vec")), asked.select("id", padded.alias("vec"))
-    if not offered.take(1) or not asked.take(1):
+    if not count or longest is None:
         empty = "query_id long, rank int, id long, score double"
         return candidates.sparkSession.createDataFrame([], empty).withColumnRenamed("id", key)
-    graph = fit(offered, k, options)
-    postings = land(_assigned(offered, graph, options, probing=False), "postings")
-    probes = land(_assigned(asked, graph, options, probing=True), "probes")
+    postings, probes = assigned(offered, asked, count, k, options)
     posted = postings.groupBy("list").agg(F.ceil(F.count("*") / LIST_ROWS).alias("row_parts"))
     probed = probes.groupBy("list").agg(F.ceil(F.count("*") / LIST_QUERIES).alias("query_parts"))
     # At most one row per centroid: which lists are read, and in how many parts.

@@ -4,8 +4,10 @@ import numpy as np
 import pytest
 
 from hazardmart.llm.common import read
-from hazardmart.llm.neighbours import IndexOptions, nearest_neighbours
-from hazardmart.llm.topk import exact_top_k
+from pyspark.sql import functions as F
+
+from hazardmart.llm.neighbours import CentroidGraph, IndexOptions, assigned, nearest_neighbours, rows_compared
+from hazardmart.llm.topk import exact_top_k, usable
 
 SCHEMA = "vec_id long, embedding array<double>"
 
@@ -17,7 +19,7 @@ def odd_rows():
     ]
 
 
-@pytest.mark.parametrize("options", [IndexOptions(), IndexOptions(sample=1000, list_rows=32)], ids=["registered", "small lists"])
+@pytest.mark.parametrize("options", [IndexOptions(), IndexOptions(sample=1000, list_rows=32)], ids=["registered", "small sample"])
 def test_recall_and_scores(spark, options):
     vectors = read(spark, "/root/testdata/sf0.1", "embeddings")
     rows = {r["vec_id"]: np.array(r["embedding"], float) for r in vectors.collect()}
@@ -67,3 +69,48 @@ def test_repeated_ids_take_one_place(spark):
     frame = spark.createDataFrame(rows, SCHEMA)
     result = sorted(nearest_neighbours(frame, frame.filter("vec_id = 0")).collect(), key=lambda r: r["rank"])
     assert [(r["rank"], r["vec_id"]) for r in result] == [(rank, int(order[rank])) for rank in range(1, 11)]
+
+
+def clustered(spark, n, seed=3):
+    random = np.random.default_rng(seed)
+    middles = random.normal(size=(40, 16))
+    vectors = middles[random.integers(0, 40, n)] + 0.2 * random.normal(size=(n, 16))
+    return vectors, spark.createDataFrame(list(enumerate(vectors.tolist())), SCHEMA).repartition(4)
+
+
+def test_lists_grow_with_the_rows_and_queries_read_few_of_them(spark):
+    lists = []
+    for n in (2000, 8000):
+        vectors, frame = clustered(spark, n)
+        offered = usable(frame, "vec_id", "embedding")
+        asked = offered.filter("id % 20 = 0")
+        postings, probes = assigned(offered, asked, n, 10, IndexOptions())
+        compared = rows_compared(postings, probes).agg(F.count("*"), F.avg("rows")).first()
+        assert compared[0] == n // 20 and compared[1] < 0.5 * n
+        assert postings.select("id").distinct().count() == n
+        lists.append(postings.select("list").distinct().count())
+        result = nearest_neighbours(frame, frame.filter("vec_id % 20 = 0"))
+        found = {}
+        for row in result.collect():
+            found.setdefault(row["query_id"], set()).add(row["vec_id"])
+        hits = 0
+        for query, own in found.items():
+            away = ((vectors - vectors[query]) ** 2).sum(axis=1)
+            away[query] = np.inf
+            hits += len(own & set(np.argsort(away)[:10]))
+        assert len(found) == n // 20 and hits / (10 * len(found)) >= 0.9
+    assert lists[1] >= 3 * lists[0]
+
+
+def test_further_lists_only_on_a_boundary():
+    graph = CentroidGraph(np.array([[0.0, 0.0], [10.0, 0.0], [0.0, 10.0], [0.4, 0.0]]))
+    own, middle = graph.posting_lists(np.array([[0.1, 0.0], [5.1, 0.0]]), IndexOptions())
+    assert own.tolist() == [0]
+    assert sorted(middle.tolist()) == [1, 3]  # not list 0, whose centroid is beside that of list 3
+
+
+def test_equal_vectors_and_equal_distances(spark):
+    rows = [(i, [float(i % 3), 1.0]) for i in range(600)]
+    frame = spark.createDataFrame(rows, SCHEMA)
+    result = sorted(nearest_neighbours(frame, frame.filter("vec_id IN (0, 300)"), k=4).collect(), key=lambda r: (r["query_id"], r["rank"]))
+    assert [(r["query_id"], r["vec_id"]) for r in result] == [(0, i) for i in (3, 6, 9, 12)] + [(300, i) for i in (0, 3, 6, 9)]
