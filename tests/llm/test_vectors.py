@@ -114,3 +114,19 @@ def test_equal_vectors_and_equal_distances(spark):
     frame = spark.createDataFrame(rows, SCHEMA)
     result = sorted(nearest_neighbours(frame, frame.filter("vec_id IN (0, 300)"), k=4).collect(), key=lambda r: (r["query_id"], r["rank"]))
     assert [(r["query_id"], r["vec_id"]) for r in result] == [(0, i) for i in (3, 6, 9, 12)] + [(300, i) for i in (0, 3, 6, 9)]
+
+
+def test_top_k_of_sparse_repeated_and_crowded_rows(spark):
+    random = np.random.default_rng(5)
+    vectors = np.where(random.random((400, 12)) < 0.3, random.normal(size=(400, 12)), 0.0)
+    ids = np.where(np.arange(400) < 150, 7, np.arange(400))  # one id holds a third of the rows
+    rows = [(int(i), vector.tolist()) for i, vector in zip(ids, vectors, strict=True)]
+    rows += [(399, vectors[399].tolist())] * 300  # and one row is there many times
+    frame = spark.createDataFrame(rows, SCHEMA)
+    result = exact_top_k(frame, frame.filter("vec_id % 20 = 0 OR vec_id = 7"), k=5).collect()
+    weights = [(i, np.floor(64 * np.array(vector)).astype(int), vector) for i, vector in rows]
+    for query in sorted({i for i, *_ in weights if i % 20 == 0 or i == 7}):
+        asked = min((vector, tuple(w)) for i, w, vector in weights if i == query)[1]
+        scored = sorted((-int(w @ np.array(asked)), i) for i, w, _ in weights if i != query)[:5]
+        own = sorted((r["rank"], r["vec_id"], r["score"]) for r in result if r["query_id"] == query)
+        assert own == [(rank, i, -score) for rank, (score, i) in enumerate(scored, 1)]
