@@ -112,14 +112,20 @@ def accumulate(candidates: Postings, queries: Postings) -> Iterator[np.ndarray]:
     kind = np.int32 if most < 2**31 else np.int64 if most < 2**63 else object
     whole = (lambda x: x.astype(kind)) if kind is not object else np.vectorize(int, otypes=[object])
     asked = {term: (rows, whole(weights)) for term, rows, weights in queries}
-    shared = [(rows, whole(weights), *asked[term]) for term, rows, weights in candidates if term in asked]
+    shared = []
+    for term, places, weights in candidates:
+        if term in asked:
+            weights = whole(weights)
+            if 4 * len(places) > candidates.count:  # one pass over whole arrays is faster than scattering so much
+                scattered = np.zeros(candidates.count, kind)
+                scattered[places] = weights
+                places, weights = slice(None), scattered
+            shared.append((places, weights, *asked[term]))
     for first in range(0, queries.count, QUERIES_AT_ONCE):
         last = min(first + QUERIES_AT_ONCE, queries.count)
         dense = np.zeros((last - first, candidates.count), kind)
-        for rows, weights, query_rows, query_weights in shared:
+        for places, weights, query_rows, query_weights in shared:
             start, end = np.searchsorted(query_rows, [first, last])
-            # A term that all candidates have is added along whole arrays.
-            places = slice(None) if len(rows) == candidates.count else rows
             for query, weight in zip(query_rows[start:end].astype(np.int64) - first, query_weights[start:end], strict=True):
                 dense[query, places] += weight * weights
         yield np.clip(dense, -(2**63), 2**63 - 1).astype(np.int64) if kind is object else dense
