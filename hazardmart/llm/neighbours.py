@@ -5,7 +5,8 @@ equal size; their means are the centroids. There are as many lists as the rows f
 in-memory graph holds: a small sample is cut into cells on the driver, and each cell's share of a
 larger sample is cut into its lists by a task. Every row goes to its nearest centroid and, when it
 lies on a boundary, to further ones. Centroids are found by a best-first walk over the graph; a query
-reads the lists whose centroid is at most a given ratio farther than the nearest one.
+reads the lists whose centroid is at most a given ratio farther than the nearest one. Lists beside each
+other are bundled: a query goes to a bundle once, and leaves it with its k nearest of all its lists there.
 """
 
 from __future__ import annotations
@@ -22,8 +23,10 @@ from pyspark.sql import functions as F
 from hazardmart.llm.topk import usable
 from hazardmart.sources.landed import land
 
-# Rows of one posting list, and queries of one list, that a task compares at a time.
-LIST_ROWS, LIST_QUERIES = 8192, 2048
+# Rows of a bundle of lists, and queries of it, that a task compares at a time.
+BUNDLE_ROWS, BUNDLE_QUERIES = 8192, 2048
+# Bundles, at least, so that small tables make enough of them for several machines.
+LEAST_BUNDLES = 32
 # Queries whose distances to a list are held at the same time.
 QUERIES_AT_ONCE = 64
 # Rows that walk over the graph at the same time.
@@ -82,7 +85,8 @@ def balanced_centroids(sample: np.ndarray, list_rows: int, seed: int) -> np.ndar
 class CentroidGraph:
     """Centroids, the neighbours of each, and spread-out places to start a walk from.
 
-    ``sizes``: different ids in the list of each centroid, set once the lists are filled.
+    Centroids beside each other in the halving follow each other. ``sizes``: different ids in the list
+    of each centroid, ``bundles``: the bundle it is in; both are set once the lists are filled.
     """
 
     centroids: np.ndarray
@@ -91,6 +95,7 @@ class CentroidGraph:
     degree: int = 16
     ratio: float = 1.0
     sizes: np.ndarray | None = None
+    bundles: np.ndarray | None = None
 
     def __post_init__(self):
         centroids = self.centroids = np.ascontiguousarray(self.centroids, np.float32)
@@ -221,10 +226,13 @@ def _cell_centroids(rows: DataFrame, cells: np.ndarray, share: float, options: I
     def halve(part: pd.DataFrame) -> pd.DataFrame:
         part = part.sort_values("id", kind="stable")  # the same centroids if the task runs again
         vectors = np.stack(part["vec"].to_list()).astype(np.float64)
-        return pd.DataFrame({"vec": list(balanced_centroids(vectors, options.sampled, options.seed))})
+        found = list(balanced_centroids(vectors, options.sampled, options.seed))
+        return pd.DataFrame({"list": part["list"].iloc[0], "part": part["part"].iloc[0], "place": range(len(found)), "vec": found})
 
-    found = split.select("list", "part", "id", "vec").groupBy("list", "part").applyInPandas(halve, "vec array<double>").toPandas()
-    return np.unique(np.stack(found["vec"].to_list()), axis=0) if len(found) else cells
+    cut = split.select("list", "part", "id", "vec").groupBy("list", "part")
+    found = cut.applyInPandas(halve, "list long, part long, place long, vec array<double>").toPandas()
+    found = found.sort_values(["list", "part", "place"])
+    return np.stack(found["vec"].to_list()) if len(found) else cells
 
 
 def true_neighbours(rows: DataFrame, ids: np.ndarray, queries: np.ndarray, k: int) -> list[np.ndarray]:
@@ -282,8 +290,8 @@ def fit(rows: DataFrame, count: int, k: int, options: IndexOptions) -> CentroidG
     return graph
 
 
-def _assigned(rows: DataFrame, graph: CentroidGraph, options: IndexOptions, probing: int = 0) -> DataFrame:
-    """One row per list of each row, or of each query for ``probing`` neighbours: (list, id, vec)."""
+def _assigned(rows: DataFrame, graph: CentroidGraph, options: IndexOptions) -> DataFrame:
+    """One row per list of each row: (list, id, vec)."""
     shared = rows.sparkSession.sparkContext.broadcast(graph)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -291,31 +299,65 @@ def _assigned(rows: DataFrame, graph: CentroidGraph, options: IndexOptions, prob
         for whole in batches:
             for start in range(0, whole.num_rows, ROWS_AT_ONCE):
                 batch = whole.slice(start, ROWS_AT_ONCE)
-                vectors = batch.column("vec")
-                stacked = _stacked(vectors)
-                lists = graph.probed_lists(stacked, options, probing) if probing else graph.posting_lists(stacked, options)
+                lists = graph.posting_lists(_stacked(batch.column("vec")), options)
                 repeated = pa.array(np.repeat(np.arange(len(lists)), [len(found) for found in lists]))
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.concatenate(lists), pa.int64()), batch.column("id").take(repeated), vectors.take(repeated)],
+                    [pa.array(np.concatenate(lists), pa.int64()), batch.column("id").take(repeated), batch.column("vec").take(repeated)],
                     names=["list", "id", "vec"],
                 )
 
     return rows.mapInArrow(run, f"list long, id long, vec {rows.schema['vec'].dataType.simpleString()}")
 
 
+def _probed(queries: DataFrame, graph: CentroidGraph, options: IndexOptions, k: int) -> DataFrame:
+    """One row per bundle that a query reads, with the lists there: (bundle, id, vec, lists)."""
+    shared = queries.sparkSession.sparkContext.broadcast(graph)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        graph = shared.value
+        for whole in batches:
+            for start in range(0, whole.num_rows, ROWS_AT_ONCE):
+                batch = whole.slice(start, ROWS_AT_ONCE)
+                bundles, repeated, lists = [], [], []
+                for number, own in enumerate(graph.probed_lists(_stacked(batch.column("vec")), options, k)):
+                    own = np.sort(own)  # bundles are runs of lists
+                    read, firsts = np.unique(graph.bundles[own], return_index=True)
+                    bundles += read.tolist()
+                    repeated += [number] * len(read)
+                    lists += [part.tolist() for part in np.split(own, firsts[1:])]
+                repeated = pa.array(repeated, pa.int64())
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array(bundles, pa.int64()), batch.column("id").take(repeated), batch.column("vec").take(repeated),
+                        pa.array(lists, pa.list_(pa.int64())),
+                    ],
+                    names=["bundle", "id", "vec", "lists"],
+                )
+
+    kind = queries.schema["vec"].dataType.simpleString()
+    return queries.mapInArrow(run, f"bundle long, id long, vec {kind}, lists array<long>")
+
+
 def _compare(k: int):
     def run(queries: pd.DataFrame, rows: pd.DataFrame) -> pd.DataFrame:
         found = {"query_id": [np.empty(0, np.int64)], "id": [np.empty(0, np.int64)], "score": [np.empty(0)]}
         if len(queries) and len(rows):
             rows = rows.sort_values("id", kind="stable")
-            ids, vectors = rows["id"].to_numpy(), np.stack(rows["vec"].to_list()).astype(np.float64)
-            asked, points = queries["id"].to_numpy(), np.stack(queries["vec"].to_list()).astype(np.float64)
-            for start in range(0, len(asked), QUERIES_AT_ONCE):
+            all_ids, vectors = rows["id"].to_numpy(), np.stack(rows["vec"].to_list()).astype(np.float64)
+            lists, place = np.unique(rows["list"].to_numpy(), return_inverse=True)
+            # Queries that read the same lists come together, so that other lists' rows are not touched.
+            queries = queries.assign(first=[own[0] for own in queries["lists"]]).sort_values(["first", "id"], kind="stable")
+            all_asked, points = queries["id"].to_numpy(), np.stack(queries["vec"].to_list()).astype(np.float64)
+            read = np.stack([np.isin(lists, own) for own in queries["lists"]])
+            for start in range(0, len(all_asked), QUERIES_AT_ONCE):
                 strip = slice(start, start + QUERIES_AT_ONCE)
-                for query_id, point, near in zip(
-                    asked[strip], points[strip], _possible(vectors, ids, points[strip], asked[strip], k), strict=True
-                ):
-                    distances = np.sqrt(((vectors[near] - point) ** 2).sum(axis=1))
+                some = np.flatnonzero(read[strip].any(axis=0)[place])
+                if not len(some):
+                    continue
+                ids, own_vectors, own_read = all_ids[some], vectors[some], read[strip][:, place[some]]
+                possible = _possible(own_vectors, ids, points[strip], all_asked[strip], own_read, k)
+                for query_id, point, near in zip(all_asked[strip], points[strip], possible, strict=True):
+                    distances = np.sqrt(((own_vectors[near] - point) ** 2).sum(axis=1))
                     near, distances = near[np.isfinite(distances)], distances[np.isfinite(distances)]
                     order = np.lexsort((ids[near], distances))
                     _, firsts = np.unique(ids[near[order]], return_index=True)  # an id counts by its nearest row
@@ -328,36 +370,53 @@ def _compare(k: int):
     return run
 
 
-def _possible(vectors: np.ndarray, ids: np.ndarray, points: np.ndarray, asked: np.ndarray, k: int) -> Iterator[np.ndarray]:
-    """Rows that can be among the k nearest ids of each query, by distances from one matrix product.
+def _possible(
+    vectors: np.ndarray, ids: np.ndarray, points: np.ndarray, asked: np.ndarray, read: np.ndarray, k: int
+) -> Iterator[np.ndarray]:
+    """Rows read that can be among the k nearest ids of each query, by distances from one matrix product.
 
     Their rounding is far below the slack, so that no row which the exact distances put first is left out.
     """
     squares, own = (vectors**2).sum(1), (points**2).sum(1)
     away = squares - 2 * points @ vectors.T + own[:, None]
-    away[asked[:, None] == ids] = np.inf
+    read = read & (asked[:, None] != ids)
+    away[~read] = np.inf
     slack = 1e-9 * (own + squares.max())
     firsts = np.flatnonzero(np.append(True, ids[1:] != ids[:-1]))
     by_id = away if len(firsts) == len(ids) else np.minimum.reduceat(away, firsts, axis=1)
     limits = np.full(len(points), np.inf) if len(firsts) <= k else np.partition(by_id, k - 1, axis=1)[:, k - 1] + slack
-    for query_id, distances, limit in zip(asked, away, limits, strict=True):
-        yield np.flatnonzero(~(distances > limit) & (ids != query_id))
+    for distances, limit, own in zip(away, limits, read, strict=True):
+        yield np.flatnonzero(~(distances > limit) & own)
+
+
+def bundled(rows: np.ndarray, wanted: int) -> np.ndarray:
+    """Numbers of runs of lists that hold about ``wanted`` rows each; a larger list ends its run."""
+    return (np.cumsum(rows) - rows) // max(1, wanted)
 
 
 def assigned(offered: DataFrame, asked: DataFrame, count: int, k: int, options: IndexOptions) -> tuple[DataFrame, DataFrame]:
-    """The lists that ``count`` offered rows are in, and those that queries read: (list, id, vec) each."""
+    """What is compared of ``count`` offered rows and of the queries.
+
+    Rows come as (list, id, vec, bundle, row_parts), the latter being the parts of the bundle; queries
+    as (bundle, id, vec, lists).
+    """
     graph = fit(offered, count, k, options)
     postings = land(_assigned(offered, graph, options), "postings")
-    held = postings.groupBy("list").agg(F.countDistinct("id").alias("ids")).toPandas()  # a row per centroid at most
-    graph.sizes = np.zeros(len(graph.centroids), np.int64)
-    graph.sizes[held["list"]] = held["ids"]
-    return postings, land(_assigned(asked, graph, options, probing=k), "probes")
+    held = postings.groupBy("list").agg(F.count("*").alias("rows"), F.countDistinct("id").alias("ids")).toPandas()
+    graph.sizes, rows = (np.zeros(len(graph.centroids), np.int64) for _ in range(2))
+    graph.sizes[held["list"]], rows[held["list"]] = held["ids"], held["rows"]
+    graph.bundles = bundled(rows, min(BUNDLE_ROWS, -(-count // LEAST_BUNDLES)))
+    parts = -(-np.bincount(graph.bundles, weights=rows).astype(np.int64) // BUNDLE_ROWS)
+    # A row per centroid, at most, like the counts above.
+    places = pd.DataFrame({"list": np.arange(len(rows)), "bundle": graph.bundles, "row_parts": np.maximum(1, parts)[graph.bundles]})
+    places = offered.sparkSession.createDataFrame(pa.Table.from_pandas(places, preserve_index=False))
+    return postings.join(places, "list"), land(_probed(asked, graph, options, k), "probes")
 
 
 def rows_compared(postings: DataFrame, probes: DataFrame) -> DataFrame:
     """Per query: how many rows of its lists it is compared with (``id``, ``rows``)."""
     sizes = postings.groupBy("list").agg(F.count("*").alias("rows"))
-    return probes.select("list", "id").join(sizes, "list").groupBy("id").agg(F.sum("rows").alias("rows"))
+    return probes.select("id", F.explode("lists").alias("list")).join(sizes, "list").groupBy("id").agg(F.sum("rows").alias("rows"))
 
 
 def nearest_neighbours(
@@ -388,19 +447,18 @@ def nearest_neighbours(
         empty = "query_id long, rank int, id long, score double"
         return candidates.sparkSession.createDataFrame([], empty).withColumnRenamed("id", key)
     postings, probes = assigned(offered, asked, count, k, options)
-    posted = postings.groupBy("list").agg(F.ceil(F.count("*") / LIST_ROWS).alias("row_parts"))
-    probed = probes.groupBy("list").agg(F.ceil(F.count("*") / LIST_QUERIES).alias("query_parts"))
-    # At most one row per centroid: which lists are read, and in how many parts.
-    parts = land(posted.join(probed, "list"), "parts")
+    probed = probes.groupBy("bundle").agg(F.ceil(F.count("*") / BUNDLE_QUERIES).alias("query_parts"))
+    # At most one row per centroid: which bundles are read, and in how many parts.
+    parts = land(postings.groupBy("bundle").agg(F.max("row_parts").alias("row_parts")).join(probed, "bundle"), "parts")
 
-    def cells(rows: DataFrame, own: str, other: str) -> DataFrame:
-        split = rows.join(parts, "list").withColumn(own, F.pmod(F.xxhash64("id"), F.col(f"{own}s")))
+    def cells(rows: DataFrame, own: str, other: str, *columns: str) -> DataFrame:
+        split = rows.drop("row_parts").join(parts, "bundle").withColumn(own, F.pmod(F.xxhash64("id", "vec"), F.col(f"{own}s")))
         others = F.explode(F.sequence(F.lit(0).cast("long"), F.col(f"{other}s") - 1)).alias(other)
-        return split.select("list", own, others, "id", "vec").groupBy("list", "row_part", "query_part")
+        return split.select("bundle", own, others, *columns).groupBy("bundle", "row_part", "query_part")
 
     near = (
-        cells(probes, "query_part", "row_part")
-        .cogroup(cells(postings, "row_part", "query_part"))
+        cells(probes, "query_part", "row_part", "id", "vec", "lists")
+        .cogroup(cells(postings, "row_part", "query_part", "list", "id", "vec"))
         .applyInPandas(_compare(k), "query_id long, id long, score double")
     )
     once = near.groupBy("query_id", "id").agg(F.min("score").alias("score"))

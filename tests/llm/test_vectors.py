@@ -88,6 +88,7 @@ def test_lists_grow_with_the_rows_and_queries_read_few_of_them(spark):
         compared = rows_compared(postings, probes).agg(F.count("*"), F.avg("rows")).first()
         assert compared[0] == n // 20 and compared[1] < 0.5 * n
         assert postings.select("id").distinct().count() == n
+        assert postings.agg(F.countDistinct("bundle")).first()[0] >= 8
         lists.append(postings.select("list").distinct().count())
         result = nearest_neighbours(frame, frame.filter("vec_id % 20 = 0"))
         found = {}
